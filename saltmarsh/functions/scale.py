@@ -16,10 +16,12 @@ def totals(df: DataFrame, **aggs: Column) -> dict[str, Column]:
 
 
 def quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], keys: tuple | list = (), accuracy: int = 10_000
+    df: DataFrame, value: str, probs: dict[str, float], keys: tuple | list = (), accuracy: int = 10_000, index: bool = False
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per key: keys, ``n`` and one column per name.
 
+    With ``index`` the value at sorted position ``int(n * p)`` is taken instead.
+
     A sketch first brackets every wanted rank. Then one aggregation counts the values inside
     the brackets one by one and everything between two brackets as a single row, so the final
     ordering sees about ``8 / accuracy`` of the rows and never a whole group.
@@ -81,6 +83,10 @@ def quantiles(
 
     out = []
     for name, p in probs.items():
+        if index:
+            at_rank = F.least(F.floor(F.col("_n") * F.lit(float(p))), F.col("_n") - 1)
+            out.append(picked(at_rank).alias(name))
+            continue
         pos = (F.col("_n") - 1) * F.lit(float(p))
         lo, hi = picked(F.floor(pos)), picked(F.ceil(pos))
         frac = (F.max("_n") - 1) * F.lit(float(p)) - F.floor((F.max("_n") - 1) * F.lit(float(p)))
@@ -88,6 +94,18 @@ def quantiles(
     return ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *out)
 
 
+def column_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], accuracy: int = 10_000) -> dict[str, Column]:
+    """Exact quantiles of several columns, ``{name: (column, p)}``, in one pass and one scalar subquery."""
+    columns = sorted({c for c, _ in wanted.values()})
+    probs = {f"p{i}": p for i, p in enumerate(sorted({p for _, p in wanted.values()}))}
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "_column", "_value")
+    q = quantiles(long, "_value", probs, ["_column"], accuracy)
+    name_of = {p: n for n, p in probs.items()}
+    picks = [F.max(F.when(F.col("_column") == c, F.col(name_of[p]))).alias(n) for n, (c, p) in wanted.items()]
+    one = q.agg(*picks).select(F.struct(*wanted).alias("one")).scalar()
+    return {n: one[n] for n in wanted}
+
+
 def quantile_scalars(df: DataFrame, value: str, probs: dict[str, float], accuracy: int = 10_000) -> dict[str, Column]:
     """Whole-table exact quantiles as columns of one scalar subquery."""
     names = list(probs)
@@ -144,3 +162,10 @@ def newest(df: DataFrame, keys: list, order: Column, values: list) -> DataFrame:
     """The values of the last row per key by one partial aggregation."""
     kept = F.max_by(F.struct(*values), order).alias("_row")
     return df.groupBy(*keys).agg(kept).select(*keys, *[F.col("_row")[v].alias(v) for v in values])
+
+
+def micros(ts: Column | str) -> Column:
+    """Microseconds since 1970 of a zoneless timestamp, whatever the session zone."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    whole = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+    return whole * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")

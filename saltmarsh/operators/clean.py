@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scale import quantile_scalars, quantiles, totals
+from ..functions.scale import column_quantiles, quantile_scalars, quantiles, totals
 
 
 def churn_flag(df: DataFrame) -> DataFrame:
@@ -124,15 +124,16 @@ SEGMENTS = ["Power Users", "High Payers", "Active Users", "New Customers", "Low
 
 def segment_names(df: DataFrame, group: str) -> DataFrame:
     """Name each group by its averages against the quartiles of all rows; the first rule wins."""
-    mrr = quantile_scalars(df, "mrr", {"q25": 0.25, "q75": 0.75})
-    usage = quantile_scalars(df, "usage_per_day", {"q75": 0.75})
-    tenure = quantile_scalars(df, "tenure_days", {"q25": 0.25})
+    q = column_quantiles(
+        df,
+        {"mrr25": ("mrr", 0.25), "mrr75": ("mrr", 0.75), "usage75": ("usage_per_day", 0.75), "tenure25": ("tenure_days", 0.25)},
+    )
     means = df.groupBy(group).agg(
         F.avg("mrr").alias("avg_mrr"), F.avg("usage_per_day").alias("avg_usage"), F.avg("tenure_days").alias("avg_tenure")
     )
-    pays, uses = F.col("avg_mrr") > mrr["q75"], F.col("avg_usage") > usage["q75"]
+    pays, uses = F.col("avg_mrr") > q["mrr75"], F.col("avg_usage") > q["usage75"]
     rules = [
-        pays & uses, pays, uses, F.col("avg_tenure") < tenure["q25"], F.col("avg_mrr") < mrr["q25"], F.lit(True),
+        pays & uses, pays, uses, F.col("avg_tenure") < q["tenure25"], F.col("avg_mrr") < q["mrr25"], F.lit(True),
     ]
     name = F.coalesce(*[F.when(rule, label) for rule, label in zip(rules, SEGMENTS)])
     return means.withColumn("segment", name)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scale import running
+from ..functions.scale import running, top_per_key
 
 SESSION_SCHEMA = "user_id BIGINT, page BIGINT, messages ARRAY<STRUCT<type STRING, content STRING>>"
 PAGE = 1000
@@ -46,3 +46,66 @@ def load_sessions(pages: DataFrame, page: int = PAGE) -> DataFrame:
         F.count("*").alias("n"),
     )
     return pairs.where(F.col("n") == 2).drop("n")
+
+
+# ---- history memories
+
+
+def history_buffer(messages: DataFrame) -> DataFrame:
+    """Each message with the size of the buffer up to it.
+
+    The buffer at a turn is the rows with ``position`` up to that turn's, so it is kept as
+    positions and running sizes; writing it out at every turn would be quadratic.
+    """
+    return running(
+        messages, ["conv_id"], ["turn", "role", "text"], F.floor(F.col("turn") / 1000),
+        position=F.lit(1).cast("bigint"), buffer_chars=F.length("text").cast("bigint"),
+    )
+
+
+def history_at(messages: DataFrame, position: int) -> DataFrame:
+    """The buffer of every conversation as it stood at ``position``."""
+    return positions(messages).where(F.col("position") <= position)
+
+
+def history_window(messages: DataFrame, k: int) -> DataFrame:
+    """The last ``k`` interactions, that is ``2 k`` messages, of every conversation."""
+    order = [F.col("turn").desc(), F.col("role").desc(), F.col("text").desc()]
+    return top_per_key(messages, ["conv_id"], order, 2 * k, "age")
+
+
+def history_budget(messages: DataFrame, budget: int) -> DataFrame:
+    """The newest messages whose joint length stays within ``budget`` characters."""
+    sized = history_buffer(messages)
+    total = messages.groupBy("conv_id").agg(F.sum(F.length("text")).alias("total_chars"))
+    sized = sized.join(total, "conv_id")
+    used = F.col("total_chars") - F.col("buffer_chars") + F.length("text")
+    return sized.withColumn("used_chars", used).where(F.col("used_chars") <= budget)
+
+
+def history_costs(messages: DataFrame, k: int, budget: int) -> DataFrame:
+    """Context characters per conversation under the three memories."""
+    chars = F.coalesce(F.sum(F.length("text")), F.lit(0))
+    full = messages.groupBy("conv_id").agg(chars.alias("buffer_chars"))
+    window = history_window(messages, k).groupBy("conv_id").agg(chars.alias("window_chars"))
+    fits = history_budget(messages, budget).groupBy("conv_id").agg(chars.alias("budget_chars"))
+    return full.join(window, "conv_id", "left").join(fits, "conv_id", "left").fillna(0, ["window_chars", "budget_chars"])
+
+
+def migrate_sessions(known: DataFrame, anonymous: DataFrame, logins: DataFrame) -> DataFrame:
+    """Append anonymous sessions after the history of the user who logged in, renumbering."""
+    moved = anonymous.drop("user_id").join(logins, "conv_id").withColumn("migrated", F.lit(1))
+    both = known.withColumn("migrated", F.lit(0)).unionByName(moved)
+    block = F.struct("migrated", "conv_id", F.floor(F.col("turn") / 1000).alias("b"))
+    return running(both, ["user_id"], ["migrated", "conv_id", "turn", "role", "text"], block, position=F.lit(1).cast("bigint"))
+
+
+def fold_slots(updates: DataFrame, keys: list[str], slot: str, value: str, order: Column, slots: list[str], required: list[str]) -> DataFrame:
+    """Last written value per slot, and whether every required slot is filled."""
+    out = updates.groupBy(*keys).agg(
+        *[F.max_by(F.when(F.col(slot) == s, F.col(value)), F.when(F.col(slot) == s, order)).alias(s) for s in slots]
+    )
+    done = F.lit(True)
+    for s in required:
+        done = done & F.col(s).isNotNull()
+    return out.withColumn("is_complete", done)
