@@ -49,6 +49,34 @@ CTES = {
       ELSE 'Quarter findings for ' || substr(c_mktsegment, 1, 1) || lower(substr(c_mktsegment, 2)) || ' buyers: order ' || o_orderkey || ' brought '
         || format('${:,.2f}', o_totalprice) || '.' END, 'orders'
   FROM orders JOIN customer ON o_custkey = c_custkey)""",
+    "tickets": """tickets AS (
+  SELECT event_id AS ticket_id, user_id, CASE event_type
+    WHEN 'error' THEN 'The export fails with ERR_EXPORT_' || json_extract_string(props, '$.k') || '.' || chr(10) || '1. Open reports' || chr(10) || '2. Click export ' || json_extract_string(props, '$.k') || chr(10) || 'Please help ASAP, needed by 8pm'
+    WHEN 'click' THEN 'Please add a dark mode, feature request ' || json_extract_string(props, '$.k')
+    WHEN 'purchase' THEN 'My invoice shows ' || format('${:,.2f}', value) || ' and I want a refund by tomorrow'
+    WHEN 'view' THEN 'How do I open the dashboard?'
+    ELSE '50% OFF for ' || json_extract_string(props, '$.k') || ' days! Buy now! Click here!' END || chr(10) || 'user_' || user_id || '@example.com' AS text FROM events)""",
+    "docs": r"""docs AS (
+  WITH a AS (SELECT document_id, text, source, CASE WHEN regexp_matches(lower(text), 'invoice|payment|bill|amount due') THEN 'invoice'
+      WHEN regexp_matches(lower(text), 'agreement|contract|hereby agree') THEN 'contract' WHEN regexp_matches(lower(text), 'report|analysis|findings') THEN 'report' ELSE 'unknown' END AS document_type,
+    regexp_extract_all(text, '[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{2,4}|[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}') AS dates,
+    list_filter(list_transform(regexp_extract_all(text, '\$\s*([0-9,]+\.?[0-9]*)', 1), lambda x: try_cast(replace(x, ',', '') AS DOUBLE)), lambda x: x IS NOT NULL) AS amounts,
+    regexp_extract_all(regexp_replace(text, '[^\x00-\x7F]', '0', 'g'), '\b[A-Z][a-z]+ [A-Z][a-z]+\b') AS all_parties FROM papers),
+  b AS (SELECT *, list_filter(all_parties, lambda x, i: list_position(all_parties, x) = i)[1:5] AS parties,
+    CASE document_type WHEN 'invoice' THEN 0.92 WHEN 'contract' THEN 0.88 WHEN 'report' THEN 0.85 ELSE 0.40 END::DOUBLE AS confidence,
+    rtrim(CAST(CAST(amounts[1] AS DECIMAL(38,6)) AS VARCHAR), '0') AS m0 FROM a),
+  c AS (SELECT *, CASE WHEN m0 LIKE '%.' THEN m0 || '0' ELSE m0 END AS money,
+    list_filter([CASE WHEN document_type = 'invoice' AND len(amounts) = 0 THEN 'Invoice missing amount' END, CASE WHEN document_type = 'invoice' AND len(dates) = 0 THEN 'Invoice missing date' END,
+      CASE WHEN document_type = 'contract' AND len(parties) < 2 THEN 'Contract missing parties' END, CASE WHEN confidence < 0.7 THEN 'Low classification confidence' END], lambda x: x IS NOT NULL) AS errors FROM b)
+  SELECT *, len(errors) = 0 AS is_valid,
+    list_filter([CASE WHEN money IS NOT NULL THEN 'monetary_amount=$' || money END, CASE WHEN dates[1] IS NOT NULL THEN 'date=' || dates[1] END], lambda x: x IS NOT NULL) AS entities,
+    CASE document_type WHEN 'invoice' THEN 'Invoice for $' || coalesce(money, 'unknown') || ' dated ' || coalesce(dates[1], 'unknown')
+      WHEN 'contract' THEN 'Contract agreement between ' || len(parties) || ' parties'
+      ELSE upper(document_type[1]) || document_type[2:] || ' document with ' || length(text) || ' characters' END AS summary,
+    CASE WHEN len(errors) > 0 THEN 'review' WHEN document_type = 'invoice' THEN 'accounting' WHEN document_type = 'contract' THEN 'legal' WHEN document_type = 'report' THEN 'management' ELSE 'review' END AS routing_decision,
+    CASE WHEN len(errors) > 0 THEN 'high' WHEN document_type = 'invoice' THEN CASE WHEN amounts[1] > 10000 THEN 'urgent' ELSE 'medium' END
+      WHEN document_type = 'contract' THEN 'high' WHEN document_type = 'report' THEN 'low' ELSE 'medium' END AS priority
+  FROM c)""",
     "ev": "ev AS (SELECT user_id, count(*) AS total_events FROM events GROUP BY 1)",
     "uf": """uf AS (SELECT user_id, sum(usage_count) AS total_usage, count(DISTINCT feature_name) AS feature_count FROM usage GROUP BY 1)""",
     "profile": """profile AS (
@@ -60,7 +88,7 @@ CTES = {
   FROM subs s LEFT JOIN ev e ON s.user_id = e.user_id LEFT JOIN uf u ON s.user_id = u.user_id)""",
 }
 
-NEEDS = {"uf": ("usage",), "profile": ("subs", "usage", "ev", "uf")}
+NEEDS = {"docs": ("papers",), "uf": ("usage",), "profile": ("subs", "usage", "ev", "uf")}
 
 
 def with_(*names: str, extra: str = "") -> str:

@@ -183,3 +183,17 @@ def paperwork(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document_id"), "text", "source"
     )
     return texts.unionByName(papers)
+
+
+def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rendered support mail per event."""
+    kind, k = F.col("event_type"), F.get_json_object("props", "$.k")
+    sender = F.concat(F.lit("\nuser_"), F.col("user_id").cast("string"), F.lit("@example.com"))
+    body = (
+        F.when(kind == "error", F.concat(F.lit("The export fails with ERR_EXPORT_"), k, F.lit(".\n1. Open reports\n2. Click export "), k, F.lit("\nPlease help ASAP, needed by 8pm")))
+        .when(kind == "click", F.concat(F.lit("Please add a dark mode, feature request "), k))
+        .when(kind == "purchase", F.concat(F.lit("My invoice shows $"), F.format_number("value", 2), F.lit(" and I want a refund by tomorrow")))
+        .when(kind == "view", F.lit("How do I open the dashboard?"))
+        .otherwise(F.concat(F.lit("50% OFF for "), k, F.lit(" days! Buy now! Click here!")))
+    )
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("ticket_id"), "user_id", F.concat(body, sender).alias("text"))
