@@ -1,6 +1,6 @@
 """The catalog of named queries."""
 
-from . import aggregates, documents, tables, windows  # noqa: F401
+from . import aggregates, documents, retrieval, tables, windows  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
