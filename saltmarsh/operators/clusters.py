@@ -23,7 +23,7 @@ SPLIT = 8  # parts per side when a box is refined
 
 def scaled_vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     rows = standard_scale(df, columns)
-    return VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(rows)
+    return cut_lineage(VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(rows))
 
 
 def best_kmeans(rows: DataFrame, k: int, seeds: int = 3):

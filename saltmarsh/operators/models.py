@@ -17,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .stats import hash_split, one_hot, regression_metrics, roc_auc, standard_scale, stratified_folds
 
 NUMERIC = ["tenure_days", "mrr", "total_usage", "feature_count", "total_events"]
@@ -34,7 +35,10 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def feature_frame(profile: DataFrame, numeric: list[str] | None = None, category: str | None = "plan_tier", folds: int = 0) -> tuple[DataFrame, list[str]]:
-    """Split by user hash, scale on the training rows only, and assemble; returns the frame and feature names."""
+    """Split by user hash, scale on the training rows only, and assemble; returns the frame and feature names.
+
+    The frame is materialised once: every estimator pass then reads stored rows, not the joins behind them.
+    """
     numeric = list(numeric or NUMERIC)
     rows = hash_split(profile, "user_id")
     if folds:
@@ -46,7 +50,7 @@ def feature_frame(profile: DataFrame, numeric: list[str] | None = None, category
         rows = one_hot(rows, category, category)
         names += [c for c in rows.columns if c not in before]
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
-    return rows.withColumn("label", F.col("churned").cast("double")), names
+    return cut_lineage(rows.withColumn("label", F.col("churned").cast("double"))), names
 
 
 def probability(column: str = "probability") -> Column:
