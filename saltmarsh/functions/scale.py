@@ -15,6 +15,16 @@ def totals(df: DataFrame, **aggs: Column) -> dict[str, Column]:
     return {k: one[k] for k in aggs}
 
 
+def attach(target: DataFrame, source: DataFrame, name: str = "_s", **aggs: Column) -> DataFrame:
+    """``target`` with whole-table aggregates of ``source`` as one struct column; for many references to them."""
+    return target.withColumn(name, source.agg(F.struct(*[c.alias(k) for k, c in aggs.items()]).alias("one")).scalar())
+
+
+def attach_quantiles(target: DataFrame, source: DataFrame, value: str, probs: dict[str, float], name: str = "_q") -> DataFrame:
+    """``target`` with exact quantiles of ``source`` as one struct column."""
+    return target.withColumn(name, quantiles(source, value, probs).select(F.struct(*probs).alias("one")).scalar())
+
+
 def quantiles(
     df: DataFrame, value: str, probs: dict[str, float], keys: tuple | list = (), accuracy: int = 10_000, index: bool = False
 ) -> DataFrame:
@@ -94,16 +104,15 @@ def quantiles(
     return ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *out)
 
 
-def column_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], accuracy: int = 10_000) -> dict[str, Column]:
-    """Exact quantiles of several columns, ``{name: (column, p)}``, in one pass and one scalar subquery."""
+def column_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], accuracy: int = 10_000) -> Column:
+    """Exact quantiles of several columns, ``{name: (column, p)}``, as one struct scalar."""
     columns = sorted({c for c, _ in wanted.values()})
     probs = {f"p{i}": p for i, p in enumerate(sorted({p for _, p in wanted.values()}))}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "_column", "_value")
     q = quantiles(long, "_value", probs, ["_column"], accuracy)
     name_of = {p: n for n, p in probs.items()}
     picks = [F.max(F.when(F.col("_column") == c, F.col(name_of[p]))).alias(n) for n, (c, p) in wanted.items()]
-    one = q.agg(*picks).select(F.struct(*wanted).alias("one")).scalar()
-    return {n: one[n] for n in wanted}
+    return q.agg(*picks).select(F.struct(*wanted).alias("one")).scalar()
 
 
 def quantile_scalars(df: DataFrame, value: str, probs: dict[str, float], accuracy: int = 10_000) -> dict[str, Column]:

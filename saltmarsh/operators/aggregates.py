@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scale import previous, quantile_scalars, quantiles, totals
+from ..session import cut_lineage
 
 
 def value_stats(df: DataFrame, value: str) -> DataFrame:
@@ -113,7 +114,10 @@ def plan_moves(df: DataFrame, user: str, order: list[str], plan: str, block: Col
 
 
 def _pair_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch of baskets, count joint occurrences as a product of 0/1 matrices, block by block."""
+    """Per batch of baskets, count joint occurrences as a product of 0/1 matrices, block by block.
+
+    The pair of an item with itself carries the item's own count.
+    """
     width = 1024
     for pdf in batches:
         sizes = pdf["basket"].map(len).to_numpy()
@@ -128,7 +132,7 @@ def _pair_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i, (sa, xa) in enumerate(blocks):
             for sb, xb in blocks[i:]:
                 g = xa.T @ xb
-                a, b = np.nonzero(np.triu(g, 1) if sa == sb else g)
+                a, b = np.nonzero(np.triu(g) if sa == sb else g)
                 if len(a):
                     yield pd.DataFrame({"a": names[a + sa], "b": names[b + sb], "n": g[a, b].astype("int64")})
 
@@ -141,12 +145,12 @@ def joint_use(df: DataFrame, user: str, item: str) -> DataFrame:
     """
     used = df.select(user, item).distinct()
     baskets = used.groupBy(user).agg(F.array_sort(F.collect_list(item)).alias("basket"))
-    pairs = baskets.select("basket").mapInPandas(_pair_counts, "a string, b string, n bigint")
-    pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("both"))
-    single = used.groupBy(item).agg(F.count("*").alias("n"))
-    users = totals(used, n=F.countDistinct(user))["n"]
-    out = pairs.join(single.select(F.col(item).alias("a"), F.col("n").alias("n_a")), "a")
-    out = out.join(single.select(F.col(item).alias("b"), F.col("n").alias("n_b")), "b").withColumn("users", users)
+    counts = baskets.select("basket").mapInPandas(_pair_counts, "a string, b string, n bigint")
+    counts = cut_lineage(counts.groupBy("a", "b").agg(F.sum("n").alias("both")))
+    pairs, single = counts.where(F.col("a") != F.col("b")), counts.where(F.col("a") == F.col("b"))
+    users = totals(df, n=F.countDistinct(user))["n"]
+    out = pairs.join(single.select("a", F.col("both").alias("n_a")), "a")
+    out = out.join(single.select("b", F.col("both").alias("n_b")), "b").withColumn("users", users)
     return out.select(
         "a", "b", "both", (F.col("both") / F.col("users")).alias("support"),
         (F.col("both") * F.col("users") / (F.col("n_a") * F.col("n_b"))).alias("lift"),

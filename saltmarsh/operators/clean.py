@@ -131,12 +131,12 @@ def segment_names(df: DataFrame, group: str) -> DataFrame:
     means = df.groupBy(group).agg(
         F.avg("mrr").alias("avg_mrr"), F.avg("usage_per_day").alias("avg_usage"), F.avg("tenure_days").alias("avg_tenure")
     )
-    pays, uses = F.col("avg_mrr") > q["mrr75"], F.col("avg_usage") > q["usage75"]
+    pays, uses = F.col("avg_mrr") > F.col("_q.mrr75"), F.col("avg_usage") > F.col("_q.usage75")
     rules = [
-        pays & uses, pays, uses, F.col("avg_tenure") < q["tenure25"], F.col("avg_mrr") < q["mrr25"], F.lit(True),
+        pays & uses, pays, uses, F.col("avg_tenure") < F.col("_q.tenure25"), F.col("avg_mrr") < F.col("_q.mrr25"), F.lit(True),
     ]
     name = F.coalesce(*[F.when(rule, label) for rule, label in zip(rules, SEGMENTS)])
-    return means.withColumn("segment", name)
+    return means.withColumn("_q", q).withColumn("segment", name).drop("_q")
 
 
 def interactions(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:

@@ -30,7 +30,7 @@ def left_enrich(base: DataFrame, *sides: DataFrame, key: str = "user_id") -> Dat
 def profile(subs: DataFrame, events: DataFrame, usage: DataFrame) -> DataFrame:
     """Subscriptions with engagement totals, zero where a user has none."""
     df = left_enrich(churn_flag(subs), event_counts(events), usage_rollup(usage))
-    df = df.fillna(0, subset=["total_events", "total_usage", "feature_count"])
+    df = df.fillna(0, subset=["tenure_days", "mrr", "total_events", "total_usage", "feature_count"])
     return per_day(df, {"usage_per_day": "total_usage", "events_per_day": "total_events"})
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scale import top_per_key, totals
+from ..functions.scale import attach, top_per_key
 
 QUERY_BATCH = 4096  # query vectors sent to the tasks at a time
 RRF_OFFSET = 60
@@ -175,12 +175,12 @@ def bm25(docs: DataFrame, queries: dict[str, list[str]], k: int, text: str = "te
         return F.size(F.filter("_hit", lambda t: t == word))
 
     rows = rows.select("id", "_len", *[count_of(w).alias(f"_tf{i}") for i, w in enumerate(vocab)])
-    s = totals(rows, n=F.count("*"), avg_len=F.avg("_len"), **{f"df{i}": F.count_if(F.col(f"_tf{i}") > 0) for i in range(len(vocab))})
+    rows = attach(rows, rows, n=F.count("*"), avg_len=F.avg("_len"), **{f"df{i}": F.count_if(F.col(f"_tf{i}") > 0) for i in range(len(vocab))})
 
     def weight(i):
-        tf = F.col(f"_tf{i}")
-        idf = F.log(1 + (s["n"] - s[f"df{i}"] + 0.5) / (s[f"df{i}"] + 0.5))
-        return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("_len") / s["avg_len"]))
+        tf, df = F.col(f"_tf{i}"), F.col(f"_s.df{i}")
+        idf = F.log(1 + (F.col("_s.n") - df + 0.5) / (df + 0.5))
+        return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("_len") / F.col("_s.avg_len")))
 
     at = {w: i for i, w in enumerate(vocab)}
     weights = rows.select("id", *[weight(i).alias(f"_w{i}") for i in range(len(vocab))])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scale import column_quantiles, quantile_scalars, quantiles, running, totals
+from ..functions.scale import attach, attach_quantiles, quantile_scalars, quantiles, running, totals
 from ..functions.special import binomial_interval_udf, p_value_udf
 
 MAX_LEVELS = 1000
@@ -170,42 +172,51 @@ def target_encoding(df: DataFrame, category: str, label: str, key: str, folds: i
 
 
 def standard_scale(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """(x - mean) / population std as ``<c>_z``; constants become 0."""
+    """(x - mean) / population std as ``<c>_z``; constants become 0, NULL stays NULL."""
     src = df if fit_on is None else fit_on
-    s = totals(src, **{f"m_{c}": F.avg(c) for c in columns}, **{f"s_{c}": F.stddev_pop(c) for c in columns})
-    return df.select("*", *[F.coalesce(F.try_divide(F.col(c) - s[f"m_{c}"], s[f"s_{c}"]), F.lit(0.0)).alias(f"{c}_z") for c in columns])
+    df = attach(df, src, **{f"m_{c}": F.avg(c) for c in columns}, **{f"s_{c}": F.stddev_pop(c) for c in columns})
+
+    def scaled(c):
+        flat = F.when(F.col(c).isNotNull(), F.lit(0.0))
+        return F.coalesce(F.try_divide(F.col(c) - F.col(f"_s.m_{c}"), F.col(f"_s.s_{c}")), flat).alias(f"{c}_z")
+
+    return df.select("*", *[scaled(c) for c in columns]).drop("_s")
 
 
 def minmax_scale(df: DataFrame, columns: list[str], top: float = 1.0) -> DataFrame:
-    s = totals(df, **{f"a_{c}": F.min(c) for c in columns}, **{f"b_{c}": F.max(c) for c in columns})
-    return df.select("*", *[F.coalesce(F.try_divide((F.col(c) - s[f"a_{c}"]) * top, s[f"b_{c}"] - s[f"a_{c}"]), F.lit(0.0)).alias(f"{c}_scaled") for c in columns])
+    df = attach(df, df, **{f"a_{c}": F.min(c) for c in columns}, **{f"b_{c}": F.max(c) for c in columns})
+
+    def scaled(c):
+        low, high = F.col(f"_s.a_{c}"), F.col(f"_s.b_{c}")
+        flat = F.when(F.col(c).isNotNull(), F.lit(0.0))
+        return F.coalesce(F.try_divide((F.col(c) - low) * top, high - low), flat).alias(f"{c}_scaled")
+
+    return df.select("*", *[scaled(c) for c in columns]).drop("_s")
 
 
 def outlier_flags(df: DataFrame, value: str, z_limit: float = 3.0) -> DataFrame:
     """IQR and z-score flags and the value capped at P99."""
-    q = quantile_scalars(df, value, {"q1": 0.25, "q3": 0.75, "p99": 0.99})
-    s = totals(df, mean=F.avg(value), std=F.stddev_pop(value))
-    x, fence = F.col(value), (q["q3"] - q["q1"]) * 1.5
-    return df.select(
-        "*", ((x < q["q1"] - fence) | (x > q["q3"] + fence)).alias("iqr_outlier"),
-        (F.abs(F.try_divide(x - s["mean"], s["std"])) > z_limit).alias("z_outlier"), F.least(x, q["p99"]).alias("capped"),
+    out = attach_quantiles(df, df, value, {"q1": 0.25, "q3": 0.75, "p99": 0.99})
+    out = attach(out, df, mean=F.avg(value), std=F.stddev_pop(value))
+    x, q1, q3 = F.col(value), F.col("_q.q1"), F.col("_q.q3")
+    fence = (q3 - q1) * 1.5
+    return out.select(
+        *df.columns, ((x < q1 - fence) | (x > q3 + fence)).alias("iqr_outlier"),
+        (F.abs(F.try_divide(x - F.col("_s.mean"), F.col("_s.std"))) > z_limit).alias("z_outlier"), F.least(x, F.col("_q.p99")).alias("capped"),
     )
 
 
 def population_stability(base: DataFrame, recent: DataFrame, value: str, buckets: int = 10) -> DataFrame:
     """Shares per bucket of the base quantiles, then and now, with each bucket's PSI part."""
-    edges = quantile_scalars(base, value, {f"e{i}": i / buckets for i in range(1, buckets)})
-
-    def shares(df, name):
-        b = sum((F.col(value) > e).cast("int") for e in list(edges.values())[1:])
-        b = b + (F.col(value) > edges["e1"]).cast("int")
-        counted = df.select(b.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
-        n = totals(df, n=F.count("*"))["n"]
-        return counted.select("bucket", (F.col("n") / n).alias(name))
-
-    both = shares(base, "base_share").join(shares(recent, "recent_share"), "bucket", "full_outer")
+    edges = {f"e{i}": i / buckets for i in range(1, buckets)}
+    rows = base.select(value, F.lit(1).alias("is_base")).unionByName(recent.select(value, F.lit(0).alias("is_base")))
+    rows = attach_quantiles(rows, base, value, edges)
+    bucket = reduce(lambda a, b: a + b, [(F.col(value) > F.col(f"_q.{e}")).cast("int") for e in edges])
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.sum("is_base").alias("b"), F.sum(1 - F.col("is_base")).alias("r"))
+    n = totals(counts, b=F.sum("b"), r=F.sum("r"))
+    both = counts.select("bucket", (F.col("b") / n["b"]).alias("base_share"), (F.col("r") / n["r"]).alias("recent_share"))
     floor = F.lit(1e-6)
-    p, q = F.greatest(F.coalesce("recent_share", F.lit(0.0)), floor), F.greatest(F.coalesce("base_share", F.lit(0.0)), floor)
+    p, q = F.greatest("recent_share", floor), F.greatest("base_share", floor)
     return both.withColumn("psi_part", (p - q) * F.log(p / q))
 
 
@@ -244,8 +255,8 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: list[floa
 
 
 def score_counts(df: DataFrame, label: str, score: str, keys: list[str]) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return df.groupBy(*keys, F.col(score).alias("score")).agg(F.sum(label).cast("bigint").alias("pos"), F.sum(1 - F.col(label)).cast("bigint").alias("neg"))
+    """Positives and negatives per distinct score; rows without a score do not count."""
+    return df.where(F.col(score).isNotNull()).groupBy(*keys, F.col(score).alias("score")).agg(F.sum(label).cast("bigint").alias("pos"), F.sum(1 - F.col(label)).cast("bigint").alias("neg"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, keys: list[str] | tuple = (), blocks: int = 10_000) -> DataFrame:
@@ -278,7 +289,8 @@ def cv_summary(fold_scores: DataFrame, test_score: Column, value: str = "auc", g
 
 def risk_composite(profile: DataFrame, trend: DataFrame) -> DataFrame:
     """0-100 from the signup month's churn, adoption below the median and falling usage, with a band."""
-    rows = profile.withColumn("signup_month", F.trunc("signup_date", "MM"))
+    # users without a signup date form a month of their own
+    rows = profile.withColumn("signup_month", F.coalesce(F.trunc("signup_date", "MM"), F.lit("1900-01-01").cast("date")))
     cohorts = rows.groupBy("signup_month").agg(F.avg("churned").alias("cohort_churn"))
     mid = quantile_scalars(profile, "feature_count", {"m": 0.5})["m"]
     top = totals(cohorts, hi=F.max("cohort_churn"), lo=F.min("cohort_churn"))

@@ -223,18 +223,21 @@ def overlap(expected: Column, actual: Column) -> Column:
     )
 
 
-def language(text: Column) -> Column:
-    """Language with the most stop words; 'unknown' without any. Ties go to the first code."""
-    tokens = words(text)
+def with_language(df: DataFrame, text: str = "text") -> DataFrame:
+    """``detected``: the language with the most stop words, 'unknown' without any; ties go to the first code."""
+    every = sorted({w for stops in STOP_WORDS.values() for w in stops})
+    # one pass over the words keeps the few that count
+    df = df.withColumn("_stops", F.filter(F.split(F.lower(text), r"\s+"), lambda w: w.isin(every)))
 
     def hits(stops):
-        return F.size(F.filter(tokens, lambda w: w.isin(stops)))
+        return F.size(F.filter("_stops", lambda w: w.isin(stops)))
 
     best = F.array_max(F.array(*[
         F.struct(hits(stops).alias("hits"), F.lit(-i).alias("order"), F.lit(code).alias("code"))
         for i, (code, stops) in enumerate(STOP_WORDS.items())
     ]))
-    return F.when(best["hits"] > 0, best["code"]).otherwise("unknown")
+    df = df.withColumn("_best", best)
+    return df.withColumn("detected", F.when(F.col("_best.hits") > 0, F.col("_best.code")).otherwise("unknown")).drop("_stops", "_best")
 
 
 # ---- tickets and mails

@@ -11,7 +11,7 @@ from ..sources import adapters as ad
 from ..sources import tables as src
 from .oracle import with_
 from .registry import query, rnd, text
-from .tables import SEGMENT_SQL, clustered, profile, today
+from .tables import SEGMENT_SQL, clustered, profile, stored_profile, today
 
 MONTH_SQL = "CAST(CAST(date_trunc('month', signup_date) AS DATE) AS VARCHAR)"
 
@@ -159,7 +159,7 @@ def active_users_daily(spark, d):
 @query("adoption_by_plan", with_("profile") + """SELECT plan_tier, round(avg(feature_count), 6) AS mean_features, round(median(feature_count), 6) AS median_features, round(stddev_samp(feature_count), 6) AS std_features,
  round(avg(churned), 6) AS churn_rate FROM profile GROUP BY 1""")
 def adoption_by_plan(spark, d):
-    p = profile(spark, d)
+    p = stored_profile(spark, d)
     out = p.groupBy("plan_tier").agg(
         rnd(F.avg("feature_count")).alias("mean_features"), rnd(F.stddev("feature_count")).alias("std_features"), rnd(F.avg("churned")).alias("churn_rate")
     )
@@ -258,7 +258,7 @@ def risk():
 SELECT count(*) FILTER (WHERE score >= q) AS bucket_size, round(avg(churned) FILTER (WHERE score >= q), 6) AS bucket_rate, round(avg(churned), 6) AS overall_rate,
  round(avg(churned) FILTER (WHERE score >= q) / avg(churned), 6) AS lift FROM s, t""")
 def risk_bucket_lift(spark, d):
-    out = agg.lift_above(profile(spark, d).withColumn("score", risk()), "score", "churned", 0.8)
+    out = agg.lift_above(stored_profile(spark, d).withColumn("score", risk()), "score", "churned", 0.8)
     return out.select("bucket_size", *[rnd(c).alias(c) for c in ("bucket_rate", "overall_rate", "lift")])
 
 

@@ -98,7 +98,7 @@ SELECT doc_id, lang, CASE WHEN greatest(de, en, es, fr) = 0 THEN 'unknown' WHEN
 
 @query("detect_language", language_sql())
 def detect_language(spark, d):
-    return src.table(spark, d, "documents").select("doc_id", "lang", tx.language(F.col("text")).alias("detected"))
+    return tx.with_language(src.table(spark, d, "documents").select("doc_id", "lang", "text")).drop("text")
 
 
 @query("extract_dates", DOCS + "SELECT document_id, array_to_string(dates, '|') AS dates FROM docs WHERE len(dates) > 0")

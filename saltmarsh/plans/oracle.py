@@ -80,11 +80,11 @@ CTES = {
     "ev": "ev AS (SELECT user_id, count(*) AS total_events FROM events GROUP BY 1)",
     "uf": """uf AS (SELECT user_id, sum(usage_count) AS total_usage, count(DISTINCT feature_name) AS feature_count FROM usage GROUP BY 1)""",
     "profile": """profile AS (
-  SELECT s.*, s.churn_date IS NOT NULL AS is_churned, CAST(s.churn_date IS NOT NULL AS INT) AS churned,
+  SELECT s.* REPLACE (coalesce(s.tenure_days, 0) AS tenure_days, coalesce(s.mrr, 0.0) AS mrr), s.churn_date IS NOT NULL AS is_churned, CAST(s.churn_date IS NOT NULL AS INT) AS churned,
          coalesce(e.total_events, 0) AS total_events, coalesce(u.total_usage, 0.0) AS total_usage,
          coalesce(u.feature_count, 0) AS feature_count,
-         coalesce(u.total_usage, 0.0) / (s.tenure_days + 1) AS usage_per_day,
-         coalesce(e.total_events, 0) / CAST(s.tenure_days + 1 AS DOUBLE) AS events_per_day
+         coalesce(u.total_usage, 0.0) / (coalesce(s.tenure_days, 0) + 1) AS usage_per_day,
+         coalesce(e.total_events, 0) / CAST(coalesce(s.tenure_days, 0) + 1 AS DOUBLE) AS events_per_day
   FROM subs s LEFT JOIN ev e ON s.user_id = e.user_id LEFT JOIN uf u ON s.user_id = u.user_id)""",
 }
 

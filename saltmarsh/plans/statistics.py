@@ -12,7 +12,7 @@ from ..sources import tables as src
 from .aggregates import CLV_SQL, RISK, SUBS_C, flagged, risk, valued
 from .oracle import with_
 from .registry import query, rnd, text
-from .tables import profile, today
+from .tables import profile, stored_profile, today
 
 
 @query("chi2_independence", SUBS_C + """, cell AS (SELECT a.plan_tier, b.churned, (SELECT count(*) FROM c WHERE c.plan_tier = a.plan_tier AND c.churned = b.churned) AS observed FROM (SELECT DISTINCT plan_tier FROM c) a, (SELECT DISTINCT churned FROM c) b),
@@ -107,20 +107,20 @@ def target_encode(spark, d):
 
 @query("standard_scale", with_("profile") + "SELECT user_id, " + ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}_z" for c in NUMBERS) + " FROM profile")
 def standard_scale(spark, d):
-    out = st.standard_scale(profile(spark, d), NUMBERS)
+    out = st.standard_scale(stored_profile(spark, d), NUMBERS)
     return out.select("user_id", *[rnd(f"{c}_z").alias(f"{c}_z") for c in NUMBERS])
 
 
 @query("minmax_scale", with_("profile") + "SELECT user_id, " + ", ".join(f"round(100.0 * ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()), 6) AS {c}_scaled" for c in NUMBERS) + " FROM profile")
 def minmax_scale(spark, d):
-    out = st.minmax_scale(profile(spark, d), NUMBERS, 100.0)
+    out = st.minmax_scale(stored_profile(spark, d), NUMBERS, 100.0)
     return out.select("user_id", *[rnd(f"{c}_scaled").alias(f"{c}_scaled") for c in NUMBERS])
 
 
 @query("outlier_flags", with_("subs") + """, q AS (SELECT quantile_cont(mrr, 0.25) q1, quantile_cont(mrr, 0.75) q3, quantile_cont(mrr, 0.99) p99, avg(mrr) m, stddev_pop(mrr) s FROM subs)
-SELECT user_id, mrr < q1 - 1.5 * (q3 - q1) OR mrr > q3 + 1.5 * (q3 - q1) AS iqr_outlier, abs((mrr - m) / s) > 3 AS z_outlier, round(least(mrr, p99), 4) AS capped FROM subs, q""")
+SELECT user_id, mrr < q1 - 1.5 * (q3 - q1) OR mrr > q3 + 1.5 * (q3 - q1) AS iqr_outlier, abs((mrr - m) / s) > 3 AS z_outlier, round(least(mrr, p99), 6) AS capped FROM subs, q""")
 def outlier_flags(spark, d):
-    return st.outlier_flags(ad.subscriptions(spark, d), "mrr").select("user_id", "iqr_outlier", "z_outlier", rnd("capped", 4).alias("capped"))
+    return st.outlier_flags(ad.subscriptions(spark, d), "mrr").select("user_id", "iqr_outlier", "z_outlier", rnd("capped", 6).alias("capped"))
 
 
 @query("feature_matrix", with_("profile") + """SELECT user_id, CAST(month(signup_date) AS INT) AS signup_month_number, total_usage, feature_count, total_events, round(mrr, 4) AS mrr, """
@@ -172,7 +172,7 @@ SCORED_SQL = with_("profile") + f", sc AS (SELECT user_id, churned, {RISK} AS sc
 
 
 def scored(spark, d):
-    return profile(spark, d).withColumn("score", risk())
+    return stored_profile(spark, d).withColumn("score", risk())
 
 
 @query("regression_metrics", CLV_SQL + """SELECT count(*) AS n, round(avg(abs(clv - predicted)), 4) AS mae, round(sqrt(avg((clv - predicted) ** 2)), 4) AS rmse, round(1 - sum((clv - predicted) ** 2) / (var_pop(clv) * count(*)), 6) AS r2 FROM v""")
@@ -251,20 +251,20 @@ def cv_summary(spark, d):
 # ---- composites and chart data
 
 
-@query("risk_score_composite", with_("profile") + """, c AS (SELECT date_trunc('month', signup_date) AS m, avg(churned) AS r FROM profile GROUP BY 1), e AS (SELECT max(r) AS hi, min(r) AS lo FROM c),
+@query("risk_score_composite", with_("profile") + """, c AS (SELECT coalesce(CAST(date_trunc('month', signup_date) AS DATE), DATE '1900-01-01') AS m, avg(churned) AS r FROM profile GROUP BY 1), e AS (SELECT max(r) AS hi, min(r) AS lo FROM c),
 t AS (SELECT user_id, avg(usage_count) FILTER (WHERE date_diff('day', date, DATE '2001-08-02') < 180) / avg(usage_count) FILTER (WHERE date_diff('day', date, DATE '2001-08-02') >= 180) < 1 AS falling FROM usage GROUP BY 1),
-s AS (SELECT p.user_id, 40 * (c.r - lo) / (hi - lo) + 30 * CAST(feature_count < (SELECT median(feature_count) FROM profile) AS INT) + 30 * CAST(coalesce(falling, false) AS INT) AS risk FROM profile p JOIN c ON date_trunc('month', p.signup_date) = c.m LEFT JOIN t ON p.user_id = t.user_id, e)
+s AS (SELECT p.user_id, 40 * (c.r - lo) / (hi - lo) + 30 * CAST(feature_count < (SELECT median(feature_count) FROM profile) AS INT) + 30 * CAST(coalesce(falling, false) AS INT) AS risk FROM profile p JOIN c ON coalesce(CAST(date_trunc('month', p.signup_date) AS DATE), DATE '1900-01-01') = c.m LEFT JOIN t ON p.user_id = t.user_id, e)
 SELECT user_id, round(risk, 6) AS risk_score, CASE WHEN risk < 33 THEN 'low' WHEN risk < 66 THEN 'medium' ELSE 'high' END AS band FROM s""")
 def risk_score_composite(spark, d):
     trend = recent_vs_history(ad.feature_usage(spark, d), today(), 180)
-    return st.risk_composite(profile(spark, d), trend).select("user_id", rnd("risk_score").alias("risk_score"), "band")
+    return st.risk_composite(stored_profile(spark, d), trend).select("user_id", rnd("risk_score").alias("risk_score"), "band")
 
 
 @query("quality_score_composite", with_("profile") + """, b AS (SELECT min(usage_per_day) u0, max(usage_per_day) u1, min(tenure_days) t0, max(tenure_days) t1, min(mrr) m0, max(mrr) m1 FROM profile),
 s AS (SELECT user_id, churned, 40 * (usage_per_day - u0) / (u1 - u0) + 30 * (tenure_days - t0) / CAST(t1 - t0 AS DOUBLE) + 30 * (mrr - m0) / (m1 - m0) AS q FROM profile, b)
 SELECT user_id, round(q, 6) AS quality_score, round((SELECT corr(q, churned) FROM s), 6) AS churn_correlation FROM s""")
 def quality_score_composite(spark, d):
-    rows = st.quality_composite(profile(spark, d))
+    rows = st.quality_composite(stored_profile(spark, d))
     c = totals(rows, c=F.corr("quality_score", "churned"))["c"]
     return rows.select("user_id", rnd("quality_score").alias("quality_score"), rnd(c).alias("churn_correlation"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scale import quantile_scalars, totals
 from ..operators import clean, joins
 from ..operators import sessions as ses
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import adapters as ad
 from ..sources import tables as src
 from .oracle import with_
@@ -22,6 +22,11 @@ def profile(spark, d):
     return joins.profile(ad.subscriptions(spark, d), ad.user_events(spark, d), ad.feature_usage(spark, d))
 
 
+def stored_profile(spark, d):
+    """The profile as a written table, for queries that pass over it several times."""
+    return cut_lineage(profile(spark, d))
+
+
 # ---- 2.1 scans, sources, sinks
 
 
@@ -297,7 +302,7 @@ named AS (SELECT cluster, am, au, av_t, CASE WHEN am > m75 AND au > u75 THEN 'Po
 
 def clustered(spark, d):
     band = F.coalesce(clean.bin_cut(F.col("mrr"), *BANDS), F.lit("None"))
-    return profile(spark, d).withColumn("cluster", F.concat(band, F.lit("-"), F.col("churned").cast("string")))
+    return stored_profile(spark, d).withColumn("cluster", F.concat(band, F.lit("-"), F.col("churned").cast("string")))
 
 
 @query("segment_by_quartile_rules", SEGMENT_SQL + "SELECT cluster, round(am, 4) AS avg_mrr, round(au, 8) AS avg_usage, round(av_t, 4) AS avg_tenure, segment FROM named")
@@ -425,7 +430,7 @@ SELECT user_id, plan_tier, round(usage_per_day, 8) AS usage_per_day, round(avg_s
 WHERE usage_per_day >= (SELECT quantile_cont(usage_per_day, 0.5) FROM x) AND avg_sentiment > 0 AND (is_churned OR idle_days > 60)""")
 def engaged_satisfied_at_risk(spark, d):
     last = ad.feature_usage(spark, d).groupBy("user_id").agg(F.datediff(today(), F.max("date")).cast("bigint").alias("idle_days"))
-    out = joins.satisfied_but_at_risk(full_view(spark, d).join(last, "user_id", "left"), 60, 0.5)
+    out = joins.satisfied_but_at_risk(cut_lineage(full_view(spark, d).join(last, "user_id", "left")), 60, 0.5)
     return out.select("user_id", "plan_tier", rnd("usage_per_day", 8).alias("usage_per_day"), rnd("avg_sentiment").alias("avg_sentiment"), "is_churned", "idle_days")
 
 
