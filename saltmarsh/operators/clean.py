@@ -78,7 +78,7 @@ def null_rates(df: DataFrame) -> DataFrame:
         "column_name",
         types[F.col("column_name")].alias("data_type"),
         "null_count",
-        (F.col("null_count") / F.col("_n")).alias("null_share"),
+        F.try_divide("null_count", "_n").alias("null_share"),
     )
 
 

@@ -55,7 +55,7 @@ def trace_shares(spans: DataFrame, trace: str, step: str, value: str, limit: flo
     steps = spans.groupBy(trace, step).agg(F.count("*").alias("spans"), F.sum(value).alias("step_ms"))
     whole = steps.groupBy(trace).agg(F.sum("step_ms").alias("total_ms"))
     out = steps.join(whole, trace)
-    return out.withColumn("share", F.col("step_ms") / F.col("total_ms")).withColumn("within_sla", F.col("total_ms") <= limit)
+    return out.withColumn("share", F.try_divide("step_ms", "total_ms")).withColumn("within_sla", F.col("total_ms") <= limit)
 
 
 def request_stats(requests: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def slo_report(requests: DataFrame, targets: dict[str, tuple[float, bool]], cost
     span = (F.max(micros("ts")) - F.min(micros("ts"))) / 1_000_000
     one = requests.agg(
         (1 - F.avg(F.col("is_error").cast("double"))).alias("uptime"), F.avg(F.col("is_error").cast("double")).alias("error_rate"),
-        (F.count("*") / span).alias("requests_per_second"), (F.avg("tokens_used") * cost_per_token).alias("cost_per_request"),
+        F.try_divide(F.count("*"), span).alias("requests_per_second"), (F.avg("tokens_used") * cost_per_token).alias("cost_per_request"),
     ).select("*", q["p50"].alias("p50_ms"), q["p95"].alias("p95_ms"), q["p99"].alias("p99_ms"))
     long = one.unpivot([], one.columns, "metric", "value")
     target = lookup(F.col("metric"), {k: v[0] for k, v in targets.items()})
@@ -176,7 +176,7 @@ def region_ranking(sales: DataFrame, region: str, quarter: str, value: str) -> D
         F.sum("r").cast("double").alias("revenue"), F.sum("deals").alias("deals"), F.avg("growth").alias("mean_growth"),
         F.count_if(F.abs("growth") > 0.5).alias("unusual_quarters"),
     )
-    out = out.withColumn("avg_deal", F.col("revenue") / F.col("deals"))
+    out = out.withColumn("avg_deal", F.try_divide("revenue", "deals"))
     return out.withColumn("rank", F.dense_rank().over(W.orderBy(F.col("revenue").desc())))
 
 

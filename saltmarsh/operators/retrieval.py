@@ -84,15 +84,14 @@ def recursive_chunks(
 
 
 def hash_vector(text: Column, dims: int) -> Column:
-    """A fixed unit vector per text, from hashes of the text and the dimension (not semantic)."""
-    key = F.md5(text)
+    """A fixed vector per text, from hashes of the text and the dimension (not semantic); normalise with ``unit``."""
 
-    def cell(i):
-        word = F.substr(F.md5(F.concat(key, i.cast("string"))), F.lit(1), F.lit(8))
+    def cell(key, i):
+        word = F.substr(F.md5(F.concat(key, (i + 1).cast("string"))), F.lit(1), F.lit(8))
         return F.conv(word, 16, 10).cast("double") / 4294967296.0 - 0.5
 
-    raw = F.transform(F.sequence(F.lit(1), F.lit(dims)), cell)
-    return raw
+    # the text is hashed once and that hash repeated, so its length does not multiply with dims
+    return F.transform(F.array_repeat(F.md5(text), dims), cell)
 
 
 # ---- vector search

@@ -27,7 +27,7 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     full = by_a.select(a, "n_a", F.inline(levels)).join(cells, [a, b], "left").fillna(0, ["observed"])
     full = full.withColumn("expected", F.col("n_a") * F.col("n_b") / n)
     s = totals(
-        full, chi2=F.sum(F.pow(F.col("observed") - F.col("expected"), 2) / F.col("expected")),
+        full, chi2=F.sum(F.try_divide(F.pow(F.col("observed") - F.col("expected"), 2), "expected")),
         dof=((F.countDistinct(a) - 1) * (F.countDistinct(b) - 1)).cast("double"),
     )
     p = p_value_udf()
@@ -52,9 +52,9 @@ def two_sample_t(df: DataFrame, flag: str, value: str) -> DataFrame:
 
 def _pooled_t(s: DataFrame) -> DataFrame:
     dof = F.col("n1") + F.col("n0") - 2
-    pooled = ((F.col("n1") - 1) * F.col("v1") + (F.col("n0") - 1) * F.col("v0")) / dof
+    pooled = F.try_divide((F.col("n1") - 1) * F.col("v1") + (F.col("n0") - 1) * F.col("v0"), dof)
     s = s.withColumn("dof", dof.cast("double"))
-    return s.withColumn("t", (F.col("mean1") - F.col("mean0")) / F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n0"))))
+    return s.withColumn("t", F.try_divide(F.col("mean1") - F.col("mean0"), F.sqrt(pooled * (F.try_divide(F.lit(1), "n1") + F.try_divide(F.lit(1), "n0")))))
 
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -65,8 +65,8 @@ def anova(df: DataFrame, group: str, value: str) -> DataFrame:
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("ssb"), F.sum((F.col("n") - 1) * F.col("var")).alias("ssw"),
         (F.count("*") - 1).cast("double").alias("df_between"), (F.sum("n") - F.count("*")).cast("double").alias("df_within"),
     )
-    f = (F.col("ssb") / F.col("df_between")) / (F.col("ssw") / F.col("df_within"))
-    return parts.withColumn("f", f).withColumn("eta_squared", F.col("ssb") / (F.col("ssb") + F.col("ssw")))
+    f = F.try_divide(F.try_divide("ssb", "df_between"), F.try_divide("ssw", "df_within"))
+    return parts.withColumn("f", f).withColumn("eta_squared", F.try_divide(F.col("ssb"), F.col("ssb") + F.col("ssw")))
 
 
 def pairwise_t(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -239,7 +239,7 @@ def rates(df: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
     precision = F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fp")), zero)
     recall = F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fn")), zero)
-    df = df.withColumn("accuracy", (F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")))
+    df = df.withColumn("accuracy", F.try_divide(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")))
     df = df.withColumn("precision", precision).withColumn("recall", recall)
     return df.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), zero))
 
@@ -273,7 +273,7 @@ def pr_curve(df: DataFrame, label: str, score: str, blocks: int = 10_000) -> Dat
     counts = score_counts(df, label, score, [])
     ranked = running(counts, [], [F.col("score").desc()], -F.floor(F.col("score") * blocks), tp=F.col("pos"), fp=F.col("neg"))
     positives = totals(df, p=F.sum(label))["p"]
-    return ranked.select(F.col("score").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), (F.col("tp") / positives).alias("recall"))
+    return ranked.select(F.col("score").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide(F.col("tp"), positives).alias("recall"))
 
 
 def cv_summary(fold_scores: DataFrame, test_score: Column, value: str = "auc", gap: float = 0.05) -> DataFrame:
@@ -309,7 +309,7 @@ def quality_composite(profile: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     s = totals(df, lo=F.min(value), hi=F.max(value))
-    at = F.least(F.floor((F.col(value) - s["lo"]) / (s["hi"] - s["lo"]) * bins), F.lit(bins - 1))
+    at = F.least(F.floor(F.coalesce(F.try_divide(F.col(value) - s["lo"], s["hi"] - s["lo"]), F.lit(0.0)) * bins), F.lit(bins - 1))
     return df.where(F.col(value).isNotNull()).groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
 
 

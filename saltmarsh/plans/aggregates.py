@@ -72,12 +72,12 @@ def user_event_counts(spark, d):
     return joins.event_counts(ad.user_events(spark, d))
 
 
-@query("user_event_profile", """SELECT user_id, count(*) AS events, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_day, round(avg(value), 4) AS avg_value,
+@query("user_event_profile", """SELECT user_id, count(*) AS events, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_day, round(avg(value), 6) AS avg_value,
  round(count(*) / CAST(date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) + 1 AS DOUBLE), 6) AS events_per_day FROM events GROUP BY 1""")
 def user_event_profile(spark, d):
     return agg.event_profile(ad.user_events(spark, d)).select(
         "user_id", "events", text(F.to_date("first_ts")).alias("first_day"), text(F.to_date("last_ts")).alias("last_day"),
-        rnd("avg_value", 4).alias("avg_value"), rnd("events_per_day").alias("events_per_day"),
+        rnd("avg_value", 6).alias("avg_value"), rnd("events_per_day").alias("events_per_day"),
     )
 
 
@@ -199,12 +199,12 @@ v AS (SELECT p.*, p.mrr * (p.tenure_days / 30.0::DOUBLE) AS clv, t.tier_mrr * (p
 
 def valued(spark, d):
     """CLV and its plain prediction: the plan's mean MRR over the user's lifetime."""
-    p = clean.lifetime_value(clean.lifetime_days(profile(spark, d), today()))
+    p = clean.lifetime_value(profile(spark, d).withColumn("lifetime_days", F.col("tenure_days")))
     tiers = p.groupBy("plan_tier").agg(F.avg("mrr").alias("tier_mrr"))
     return p.join(tiers, "plan_tier").withColumn("predicted", F.col("tier_mrr") * (F.col("lifetime_days") / 30.0))
 
 
-@query("clv_summary", CLV_SQL + "SELECT round(avg(clv), 4) AS mean_clv, round(median(clv), 4) AS median_clv, round(max(clv), 4) AS max_clv FROM v")
+@query("clv_summary", with_("subs") + ", v AS (SELECT mrr * (tenure_days / 30.0::DOUBLE) AS clv FROM subs) SELECT round(avg(clv), 4) AS mean_clv, round(median(clv), 4) AS median_clv, round(max(clv), 4) AS max_clv FROM v")
 def clv_summary(spark, d):
     df = clean.lifetime_value(clean.lifetime_days(ad.subscriptions(spark, d), today()))
     mid = quantile_scalars(df, "clv", {"m": 0.5})["m"]

@@ -165,7 +165,8 @@ def error_quarantine(spark, d):
     out = tx.validate(tx.extract(tx.classify(papers(spark, d))))
     short = F.nullif(tx.text_error(F.col("text")), F.lit(""))
     errors = F.filter(F.concat(F.array(short), F.col("validation_errors")), lambda e: e.isNotNull())
-    return out.select("document_id", joined(errors).alias("errors")).where("errors <> ''")
+    # a generator keeps the failing rows without evaluating the rules again in a filter
+    return out.select("document_id", F.explode(F.filter(F.array(joined(errors)), lambda e: e != "")).alias("errors"))
 
 
 # ---- tickets, mails, rendered prompts
@@ -222,7 +223,7 @@ PROMPT = "Plan {plan} in {region}: user {user} left on {left} after {days} days.
 
 
 @query("prompt_render", with_("subs") + """SELECT user_id, 'Plan ' || plan_tier || ' in ' || region || ': user ' || user_id || ' left on ' || CAST(churn_date AS VARCHAR) || ' after ' || tenure_days || ' days.' AS prompt,
- CASE WHEN churn_date IS NULL THEN 'left' ELSE '' END AS errors FROM subs""")
+ concat_ws('|', CASE WHEN churn_date IS NULL THEN 'left' END, CASE WHEN tenure_days IS NULL THEN 'days' END) AS errors FROM subs""")
 def prompt_render(spark, d):
     slots = {"plan": F.col("plan_tier"), "region": F.col("region"), "user": F.col("user_id"), "left": F.col("churn_date"), "days": F.col("tenure_days")}
     filled, empty = tx.render(PROMPT, slots)

@@ -64,7 +64,7 @@ CTES = {
     regexp_extract_all(regexp_replace(text, '[^\x00-\x7F]', '0', 'g'), '\b[A-Z][a-z]+ [A-Z][a-z]+\b') AS all_parties FROM papers),
   b AS (SELECT *, list_filter(all_parties, lambda x, i: list_position(all_parties, x) = i)[1:5] AS parties,
     CASE document_type WHEN 'invoice' THEN 0.92 WHEN 'contract' THEN 0.88 WHEN 'report' THEN 0.85 ELSE 0.40 END::DOUBLE AS confidence,
-    rtrim(CAST(CAST(amounts[1] AS DECIMAL(38,6)) AS VARCHAR), '0') AS m0 FROM a),
+    rtrim(CASE WHEN amounts[1] = floor(amounts[1]) AND amounts[1] < 1e18 THEN CAST(CAST(amounts[1] AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(CAST(amounts[1] AS DECIMAL(38,6)) AS VARCHAR) END, '0') AS m0 FROM a),
   c AS (SELECT *, CASE WHEN m0 LIKE '%.' THEN m0 || '0' ELSE m0 END AS money,
     list_filter([CASE WHEN document_type = 'invoice' AND len(amounts) = 0 THEN 'Invoice missing amount' END, CASE WHEN document_type = 'invoice' AND len(dates) = 0 THEN 'Invoice missing date' END,
       CASE WHEN document_type = 'contract' AND len(parties) < 2 THEN 'Contract missing parties' END, CASE WHEN confidence < 0.7 THEN 'Low classification confidence' END], lambda x: x IS NOT NULL) AS errors FROM b)

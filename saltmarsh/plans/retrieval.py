@@ -220,7 +220,7 @@ REQ = with_("requests")
 
 @query("trace_rollup", REQ + """, sp AS (SELECT user_id || '@' || strftime(ts, '%Y-%m-%d %H') AS trace_id, endpoint, latency_ms FROM requests), st AS (SELECT trace_id, endpoint, count(*) AS spans, sum(latency_ms) AS step_ms FROM sp GROUP BY 1, 2),
 t AS (SELECT trace_id, sum(step_ms) AS total_ms FROM st GROUP BY 1)
-SELECT st.trace_id, endpoint, spans, round(step_ms, 4) AS step_ms, round(total_ms, 4) AS total_ms, round(step_ms / total_ms, 6) AS share, total_ms <= 1000 AS within_sla FROM st JOIN t ON st.trace_id = t.trace_id""")
+SELECT st.trace_id, endpoint, spans, round(step_ms, 4) AS step_ms, round(total_ms, 4) AS total_ms, round(step_ms / nullif(total_ms, 0), 6) AS share, total_ms <= 1000 AS within_sla FROM st JOIN t ON st.trace_id = t.trace_id""")
 def trace_rollup(spark, d):
     spans = ad.requests(spark, d).withColumn("trace_id", F.concat_ws("@", text("user_id"), F.date_format("ts", "yyyy-MM-dd HH")))
     out = ev.trace_shares(spans, "trace_id", "endpoint", "latency_ms", 1000)
@@ -333,11 +333,11 @@ def readability(spark, d):
 
 @query("keyword_density", """WITH k AS (SELECT page_id, CAST(len(regexp_extract_all(lower(html), '\\b(the|der|los|les)\\b')) AS INT) AS keyword_count, CAST(len(regexp_extract_all(html, '<h[1-6]')) AS INT) AS headers,
  CAST(len(list_filter(regexp_split_to_array(html, '\\s+'), lambda x: x <> '')) AS INT) AS words FROM (SELECT page_id, regexp_replace(html, '[^\\x00-\\x7F]', '0', 'g') AS html FROM pages))
-SELECT page_id, keyword_count, headers, words, round(keyword_count / CAST(words AS DOUBLE), 6) AS density FROM k""")
+SELECT page_id, keyword_count, headers, words, round(keyword_count / CAST(words AS DOUBLE), 8) AS density FROM k""")
 def keyword_density(spark, d):
     pages = src.table(spark, d, "pages").select("page_id", "html")
     out = pages.select(
         "page_id", F.regexp_count(F.lower("html"), F.lit(r"(?U)\b(the|der|los|les)\b")).alias("keyword_count"), F.regexp_count("html", F.lit("<h[1-6]")).alias("headers"),
         F.size(F.filter(F.split("html", r"\s+"), lambda w: w != "")).alias("words"),
     )
-    return out.withColumn("density", rnd(F.try_divide("keyword_count", "words")))
+    return out.withColumn("density", rnd(F.try_divide("keyword_count", "words"), 8))

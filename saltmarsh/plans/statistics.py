@@ -32,7 +32,7 @@ def proportion_ci95(spark, d):
     return out.select("plan_tier", "n", *[rnd(c).alias(c) for c in ("rate", "ci_low", "ci_high")])
 
 
-@query("ttest_two_sample", SUBS_C + """, s AS (SELECT count(*) FILTER (WHERE churned = 1) n1, count(*) FILTER (WHERE churned = 0) n0, avg(mrr) FILTER (WHERE churned = 1) m1, avg(mrr) FILTER (WHERE churned = 0) m0,
+@query("ttest_two_sample", SUBS_C + """, s AS (SELECT count(mrr) FILTER (WHERE churned = 1) n1, count(mrr) FILTER (WHERE churned = 0) n0, avg(mrr) FILTER (WHERE churned = 1) m1, avg(mrr) FILTER (WHERE churned = 0) m0,
  var_samp(mrr) FILTER (WHERE churned = 1) v1, var_samp(mrr) FILTER (WHERE churned = 0) v0 FROM c)
 SELECT round(m1, 4) AS mean_churned, round(m0, 4) AS mean_active, CAST(n1 + n0 - 2 AS DOUBLE) AS dof, round((m1 - m0) / sqrt(((n1 - 1) * v1 + (n0 - 1) * v0) / (n1 + n0 - 2) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n0)), 6) AS t FROM s""")
 def ttest_two_sample(spark, d):
@@ -40,7 +40,7 @@ def ttest_two_sample(spark, d):
     return out.select(rnd("mean1", 4).alias("mean_churned"), rnd("mean0", 4).alias("mean_active"), "dof", rnd("t").alias("t"))
 
 
-ANOVA_SQL = with_("subs") + ", g AS (SELECT region, count(*) AS n, avg(mrr) AS m, var_samp(mrr) AS v FROM subs GROUP BY 1)\n"
+ANOVA_SQL = with_("subs") + ", g AS (SELECT region, count(mrr) AS n, avg(mrr) AS m, var_samp(mrr) AS v FROM subs GROUP BY 1)\n"
 
 
 @query("anova_oneway", ANOVA_SQL + """, p AS (SELECT sum(n * (m - (SELECT avg(mrr) FROM subs)) ** 2) AS ssb, sum((n - 1) * v) AS ssw, CAST(count(*) - 1 AS DOUBLE) AS d1, CAST(sum(n) - count(*) AS DOUBLE) AS d2 FROM g)
@@ -123,11 +123,11 @@ def outlier_flags(spark, d):
     return st.outlier_flags(ad.subscriptions(spark, d), "mrr").select("user_id", "iqr_outlier", "z_outlier", rnd("capped", 6).alias("capped"))
 
 
-@query("feature_matrix", with_("profile") + """SELECT user_id, CAST(month(signup_date) AS INT) AS signup_month_number, total_usage, feature_count, total_events, round(mrr, 4) AS mrr, """
+@query("feature_matrix", with_("profile") + """SELECT user_id, CAST(month(signup_date) AS INT) AS signup_month_number, total_usage, feature_count, total_events, round(mrr, 6) AS mrr, """
        + ", ".join(f"CAST(plan_tier = '{t}' AS INT) AS plan_tier_{t}" for t in TIERS) + ", churned AS target FROM profile")
 def feature_matrix(spark, d):
     df = st.one_hot(profile(spark, d), "plan_tier", "plan_tier")
-    return df.select("user_id", F.month("signup_date").alias("signup_month_number"), "total_usage", "feature_count", "total_events", rnd("mrr", 4).alias("mrr"),
+    return df.select("user_id", F.month("signup_date").alias("signup_month_number"), "total_usage", "feature_count", "total_events", rnd("mrr", 6).alias("mrr"),
                      *[f"plan_tier_{t}" for t in TIERS], F.col("churned").alias("target"))
 
 
@@ -271,18 +271,18 @@ def quality_score_composite(spark, d):
 
 @query("mrr_forecast_drop", """WITH m AS (SELECT o_custkey AS user_id, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS month_no, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY 1, 2),
 f AS (SELECT user_id, count(*) AS months, avg(CAST(v AS DOUBLE)) AS mv, regr_slope(CAST(v AS DOUBLE), month_no) AS s, regr_intercept(CAST(v AS DOUBLE), month_no) AS i FROM m GROUP BY 1)
-SELECT user_id, months, round(mv, 6) AS mean_value, round(greatest(i + 80 * s, 0.0), 2) AS forecast, greatest(i + 80 * s, 0.0) < mv * 0.8 AS is_drop FROM f WHERE months > 1""")
+SELECT user_id, months, round(mv, 6) AS mean_value, round(greatest(i + 80 * s, 0.0), 4) AS forecast, greatest(i + 80 * s, 0.0) < mv * 0.8 AS is_drop FROM f WHERE months > 1""")
 def mrr_forecast_drop(spark, d):
     month_no = (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate")
     monthly = src.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("user_id"), month_no.alias("month_no")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("v")
     )
     out = st.forecast_drop(monthly, "user_id", "month_no", "v", 80).where("months > 1")
-    return out.select("user_id", "months", rnd("mean_value", 6).alias("mean_value"), rnd("forecast", 2).alias("forecast"), "is_drop")
+    return out.select("user_id", "months", rnd("mean_value", 6).alias("mean_value"), rnd("forecast", 4).alias("forecast"), "is_drop")
 
 
 @query("chart_data_histogram", with_("subs") + """, r AS (SELECT min(mrr) AS lo, max(mrr) AS hi FROM subs)
-SELECT CAST(least(floor((mrr - lo) / (hi - lo) * 12), 11) AS BIGINT) AS bin, count(*) AS n, round(min(mrr), 4) AS low, round(max(mrr), 4) AS high FROM subs, r GROUP BY 1""")
+SELECT CAST(least(floor((mrr - lo) / (hi - lo) * 12), 11) AS BIGINT) AS bin, count(*) AS n, round(min(mrr), 4) AS low, round(max(mrr), 4) AS high FROM subs, r WHERE mrr IS NOT NULL GROUP BY 1""")
 def chart_data_histogram(spark, d):
     out = st.histogram(ad.subscriptions(spark, d), "mrr", 12)
     return out.select("bin", "n", rnd("low", 4).alias("low"), rnd("high", 4).alias("high"))
