@@ -151,9 +151,10 @@ def linear() -> mr.LinearRegression:
     return mr.LinearRegression(regParam=0.0, solver="normal")
 
 
-def ridge(alpha: float, n: int) -> mr.LinearRegression:
-    """Penalty ``alpha`` of the sum-of-squares form is ``alpha / n`` here."""
-    return mr.LinearRegression(regParam=alpha / max(n, 1), elasticNetParam=0.0, standardization=False, solver="normal")
+def ridge(alpha: float, train: DataFrame, label: str = "label") -> mr.LinearRegression:
+    """Penalty ``alpha`` of the sum-of-squares form; the estimator divides by rows and by the label's spread."""
+    s = train.agg(F.count("*").alias("n"), F.coalesce(F.stddev_pop(label), F.lit(1.0)).alias("spread")).first()
+    return mr.LinearRegression(regParam=alpha * s["spread"] / max(s["n"], 1), elasticNetParam=0.0, standardization=False, solver="normal")
 
 
 def forest_regressor(trees: int = 100, depth: int = 10) -> mr.RandomForestRegressor:

@@ -155,7 +155,7 @@ def time_split(df: DataFrame, date: str) -> DataFrame:
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5) -> DataFrame:
     """Fold numbers dealt in hash order inside each class, so class sizes differ by at most one."""
     rows = df.withColumn("_h", hash_share(key))
-    dealt = running(rows, [label], ["_h", key], F.floor(F.col("_h") / 4194304), _n=F.lit(1).cast("bigint"))
+    dealt = running(rows, [label], ["_h", key], F.floor(F.col("_h") / 65536), _n=F.lit(1).cast("bigint"))
     return dealt.withColumn("fold", ((F.col("_n") - 1) % folds).cast("int")).drop("_h", "_n")
 
 

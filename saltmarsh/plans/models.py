@@ -75,8 +75,8 @@ def linear_regression(spark, d):
 @query("ridge_regression")
 def ridge_regression(spark, d):
     frame, names = ml.regression_frame(profile(spark, d))
-    n = frame.where("split = 'train'").count()
-    return report(ml.importances(frame, names, ml.fit_on_train(frame, ml.ridge(1.0, n)).coefficients))
+    penal = ml.ridge(1.0, frame.where("split = 'train'"))
+    return report(ml.importances(frame, names, ml.fit_on_train(frame, penal).coefficients))
 
 
 @query("random_forest_reg")
@@ -88,8 +88,7 @@ def random_forest_reg(spark, d):
 @query("model_compare")
 def model_compare(spark, d):
     frame, _ = ml.regression_frame(profile(spark, d))
-    n = frame.where("split = 'train'").count()
-    fits = {"linear": ml.linear(), "ridge": ml.ridge(1.0, n), "forest": ml.forest_regressor(30, 8)}
+    fits = {"linear": ml.linear(), "ridge": ml.ridge(1.0, frame.where("split = 'train'")), "forest": ml.forest_regressor(30, 8)}
     out = None
     for name, e in fits.items():
         one = ml.regressor_report(name, frame, ml.fit_on_train(frame, e))

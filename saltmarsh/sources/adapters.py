@@ -148,7 +148,7 @@ def approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages; repeated (conv_id, turn) rows keep their own message id order by text."""
+    """Messages in turn order; where a turn occurs twice, role and text decide."""
     return table(spark, sf_dir, "conversations")
 
 

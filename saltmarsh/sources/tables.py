@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Columns of the input tables, given so that a read needs no footer job.
 SCHEMAS = {
@@ -53,10 +54,7 @@ def read_sql(spark: SparkSession, query: str, **views: DataFrame) -> DataFrame:
 
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its path and its whole content."""
-    from pyspark.sql import functions as F
-
     return (
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
     )
