@@ -16,6 +16,7 @@ from ..session import cut_lineage
 
 def value_stats(df: DataFrame, value: str) -> DataFrame:
     """count, mean, median, population std, min, max and P95 of one column."""
+    df = cut_lineage(df.select(value))  # the passes below read this one column, not the joins behind it
     q = quantile_scalars(df, value, {"median": 0.5, "p95": 0.95})
     return df.agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
@@ -143,12 +144,12 @@ def joint_use(df: DataFrame, user: str, item: str) -> DataFrame:
     A basket holds each item once, so it is no longer than the item catalog. Tasks turn
     batches of baskets into joint counts and only those counts are shuffled.
     """
-    used = df.select(user, item).distinct()
+    used = cut_lineage(df.select(user, item).distinct())
     baskets = used.groupBy(user).agg(F.array_sort(F.collect_list(item)).alias("basket"))
     counts = baskets.select("basket").mapInPandas(_pair_counts, "a string, b string, n bigint")
     counts = cut_lineage(counts.groupBy("a", "b").agg(F.sum("n").alias("both")))
     pairs, single = counts.where(F.col("a") != F.col("b")), counts.where(F.col("a") == F.col("b"))
-    users = totals(df, n=F.countDistinct(user))["n"]
+    users = totals(used, n=F.countDistinct(user))["n"]
     out = pairs.join(single.select("a", F.col("both").alias("n_a")), "a")
     out = out.join(single.select("b", F.col("both").alias("n_b")), "b").withColumn("users", users)
     return out.select(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scale import attach, top_per_key
+from ..session import cut_lineage
 
 QUERY_BATCH = 4096  # query vectors sent to the tasks at a time
 RRF_OFFSET = 60
@@ -163,7 +164,7 @@ def bm25(docs: DataFrame, queries: dict[str, list[str]], k: int, text: str = "te
     """Top ``k`` documents per keyword query by BM25.
 
     Term counts are taken inside the row for the query words only, so documents are never
-    shuffled; one pass counts document frequencies, one scores.
+    shuffled; document frequencies and scores both come from those counts.
     """
     vocab = sorted({t for words in queries.values() for t in words})
     bag = tokens(F.col(text))
@@ -173,7 +174,8 @@ def bm25(docs: DataFrame, queries: dict[str, list[str]], k: int, text: str = "te
     def count_of(word):
         return F.size(F.filter("_hit", lambda t: t == word))
 
-    rows = rows.select("id", "_len", *[count_of(w).alias(f"_tf{i}") for i, w in enumerate(vocab)])
+    # lengths and counts are small and kept, so the texts are read and cut into words once
+    rows = cut_lineage(rows.select("id", "_len", *[count_of(w).alias(f"_tf{i}") for i, w in enumerate(vocab)]))
     rows = attach(rows, rows, n=F.count("*"), avg_len=F.avg("_len"), **{f"df{i}": F.count_if(F.col(f"_tf{i}") > 0) for i in range(len(vocab))})
 
     def weight(i):

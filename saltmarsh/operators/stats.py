@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scale import attach, attach_quantiles, quantile_scalars, quantiles, running, totals
 from ..functions.special import binomial_interval_udf, p_value_udf
+from ..session import cut_lineage
 
 MAX_LEVELS = 1000
 
@@ -18,7 +19,7 @@ MAX_LEVELS = 1000
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     """Observed and expected count per cell with the statistic, its degrees of freedom and p."""
-    cells = df.groupBy(a, b).agg(F.count("*").alias("observed"))
+    cells = cut_lineage(df.groupBy(a, b).agg(F.count("*").alias("observed")))
     by_a = cells.groupBy(a).agg(F.sum("observed").alias("n_a"))
     by_b = cells.groupBy(b).agg(F.sum("observed").alias("n_b"))
     n = totals(cells, n=F.sum("observed"))["n"]
@@ -59,8 +60,8 @@ def _pooled_t(s: DataFrame) -> DataFrame:
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
     """One-way F, its degrees of freedom, and eta squared, from group moments."""
-    g = group_moments(df, group, value)
-    grand = totals(df, m=F.avg(value))["m"]
+    g = cut_lineage(group_moments(df, group, value))
+    grand = totals(g, m=F.sum(F.col("n") * F.col("mean")) / F.sum("n"))["m"]
     parts = g.withColumn("grand", grand).agg(
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("ssb"), F.sum((F.col("n") - 1) * F.col("var")).alias("ssw"),
         (F.count("*") - 1).cast("double").alias("df_between"), (F.sum("n") - F.count("*")).cast("double").alias("df_within"),
@@ -71,7 +72,7 @@ def anova(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def pairwise_t(df: DataFrame, group: str, value: str) -> DataFrame:
     """Pooled t for each pair of groups, with the number of pairs for the Bonferroni factor."""
-    g = group_moments(df, group, value)
+    g = cut_lineage(group_moments(df, group, value))
     listed = g.agg(F.array_sort(F.collect_list(F.struct(group, "n", "mean", "var"))).alias("l")).scalar()
     rows = g.select(F.col(group).alias("a"), F.col("n").alias("n1"), F.col("mean").alias("mean1"), F.col("var").alias("v1"), F.explode(listed).alias("o"))
     rows = rows.where(F.col("a") < F.col("o")[group]).select(

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scale import micros, newest, previous, quantiles, running
+from ..session import cut_lineage
 
 
 def against_group(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -88,7 +89,8 @@ def sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
     rows = events.select("user_id", "event_id", "ts", micros("ts").alias("us"))
     steps = previous(rows, ["user_id"], ["ts", "event_id"], F.to_date("ts"), ["us"])
     starts = (F.col("prev_us").isNull() | (F.col("us") - F.col("prev_us") > gap_seconds * 1_000_000)).cast("bigint")
-    marked = running(steps.withColumn("starts", starts), ["user_id"], ["ts", "event_id"], F.to_date("ts"), session_no=F.col("starts"))
+    steps = cut_lineage(steps.select("user_id", "event_id", "ts", "us", starts.alias("starts")))
+    marked = running(steps, ["user_id"], ["ts", "event_id"], F.to_date("ts"), session_no=F.col("starts"))
     return marked.groupBy("user_id", "session_no").agg(
         F.count("*").alias("events"), F.min("ts").alias("started"), ((F.max("us") - F.min("us")) / 1_000_000).alias("seconds")
     )

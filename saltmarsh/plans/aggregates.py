@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from ..functions.scale import quantile_scalars, totals
 from ..operators import aggregates as agg
 from ..operators import clean, joins
+from ..session import cut_lineage
 from ..sources import adapters as ad
 from ..sources import tables as src
 from .oracle import with_
 from .registry import query, rnd, text
-from .tables import SEGMENT_SQL, clustered, profile, stored_profile, today
+from .tables import SEGMENT_SQL, clustered, profile, stored_profile, stored_subscriptions, today
 
 MONTH_SQL = "CAST(CAST(date_trunc('month', signup_date) AS DATE) AS VARCHAR)"
 
@@ -30,7 +31,7 @@ def usage_stats_global(spark, d):
 @query("top_decile_rows", with_("usage") + """, t AS (SELECT quantile_cont(usage_count, 0.9) AS q FROM usage)
 SELECT round(any_value(q), 6) AS threshold, count(*) AS usage_rows, count(DISTINCT user_id) AS users FROM usage, t WHERE usage_count >= q""")
 def top_decile_rows(spark, d):
-    top = agg.at_or_above(ad.feature_usage(spark, d), "usage_count", 0.9)
+    top = agg.at_or_above(cut_lineage(ad.feature_usage(spark, d).select("user_id", "usage_count")), "usage_count", 0.9)
     return top.agg(rnd(F.max("threshold")).alias("threshold"), F.count("*").alias("usage_rows"), F.countDistinct("user_id").alias("users"))
 
 
@@ -44,14 +45,14 @@ def user_usage_sum_mean_count(spark, d):
 
 @query("user_top_decile", PER_USER_SQL + "SELECT count(*) AS users, round(avg(avg_usage), 6) AS mean_avg_usage FROM pu WHERE total_usage >= (SELECT quantile_cont(total_usage, 0.9) FROM pu)")
 def user_top_decile(spark, d):
-    top = agg.at_or_above(agg.per_user_usage(ad.feature_usage(spark, d)), "total_usage", 0.9)
+    top = agg.at_or_above(cut_lineage(agg.per_user_usage(ad.feature_usage(spark, d))), "total_usage", 0.9)
     return top.agg(F.count("*").alias("users"), rnd(F.avg("avg_usage")).alias("mean_avg_usage"))
 
 
 @query("user_zscore_outliers", PER_USER_SQL + """, z AS (SELECT user_id, total_usage, (total_usage - (SELECT avg(total_usage) FROM pu)) / (SELECT stddev_pop(total_usage) FROM pu) AS z FROM pu)
 SELECT user_id, total_usage, round(z, 6) AS z FROM z WHERE abs(z) > 2.5""")
 def user_zscore_outliers(spark, d):
-    z = agg.zscores(agg.per_user_usage(ad.feature_usage(spark, d)), "total_usage")
+    z = agg.zscores(cut_lineage(agg.per_user_usage(ad.feature_usage(spark, d))), "total_usage")
     return z.where(F.abs("z") > 2.5).select("user_id", "total_usage", rnd("z").alias("z"))
 
 
@@ -206,7 +207,7 @@ def valued(spark, d):
 
 @query("clv_summary", with_("subs") + ", v AS (SELECT mrr * (tenure_days / 30.0::DOUBLE) AS clv FROM subs) SELECT round(avg(clv), 4) AS mean_clv, round(median(clv), 4) AS median_clv, round(max(clv), 4) AS max_clv FROM v")
 def clv_summary(spark, d):
-    df = clean.lifetime_value(clean.lifetime_days(ad.subscriptions(spark, d), today()))
+    df = clean.lifetime_value(clean.lifetime_days(stored_subscriptions(spark, d), today()))
     mid = quantile_scalars(df, "clv", {"m": 0.5})["m"]
     out = df.agg(rnd(F.avg("clv"), 4).alias("mean_clv"), rnd(F.max("clv"), 4).alias("max_clv"))
     return out.withColumn("median_clv", rnd(mid, 4))
@@ -290,6 +291,7 @@ a AS (SELECT region, avg(share) AS avg_share, count(*) AS days FROM s GROUP BY 1
 SELECT region, round(100 * avg_share, 6) AS avg_share_pct, days, avg_share = max(avg_share) OVER () AS is_highest, avg_share = min(avg_share) OVER () AS is_lowest FROM a""")
 def daily_total_and_share(spark, d):
     a = agg.shares_by_day(daily_users(spark, d)).groupBy("region").agg(F.avg("share").alias("avg_share"), F.count("*").alias("days"))
+    a = cut_lineage(a)
     ends = totals(a, top=F.max_by("region", "avg_share"), low=F.min_by("region", "avg_share"))
     return a.select(
         "region", rnd(F.col("avg_share") * 100).alias("avg_share_pct"), "days",

@@ -8,6 +8,7 @@ from ..functions.scale import top_per_key
 from ..operators import evaluation as ev
 from ..operators import retrieval as rt
 from ..operators import textops as tx
+from ..session import cut_lineage
 from ..sources import adapters as ad
 from ..sources import tables as src
 from .documents import joined
@@ -177,7 +178,7 @@ def hallucination_flag(spark, d):
 
 def eval_runs(spark, d):
     """Conversation turns as test cases; every second answer repeats the question, so its words all occur."""
-    pairs = answered(spark, d).withColumn("case_id", F.concat_ws("-", text("user_id"), text("interaction")))
+    pairs = cut_lineage(answered(spark, d)).withColumn("case_id", F.concat_ws("-", text("user_id"), text("interaction")))
     right_tool = F.col("user_id") % 5 != 0
     golden = pairs.select("case_id", F.col("input").alias("expected_output"), F.lit("documentation_search").alias("expected_tool"), F.lit(2000).alias("max_latency_ms"))
     runs = pairs.select(
@@ -287,7 +288,7 @@ def approval_sla(spark, d):
 SELECT count(*) AS requests, round(avg(hours), 4) AS mean_hours, round(quantile_cont(hours, 0.95), 4) AS p95_hours, round(count(*) FILTER (WHERE status = 'approved') / CAST(count(*) FILTER (WHERE status <> 'pending') AS DOUBLE), 6) AS approval_rate,
  round(avg(CAST({ESC} IS NOT NULL AS INT)), 6) AS escalation_rate, round(avg(CAST(status = 'rejected' AND risk_score < 0.5 AS INT)), 6) AS appeal_rate FROM h""")
 def approval_metrics(spark, d):
-    out = ev.approval_metrics(ad.approvals(spark, d))
+    out = ev.approval_metrics(cut_lineage(ad.approvals(spark, d)))
     return out.select("requests", rnd("mean_hours", 4).alias("mean_hours"), rnd("p95_hours", 4).alias("p95_hours"), *[rnd(c).alias(c) for c in ("approval_rate", "escalation_rate", "appeal_rate")])
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from ..functions.scale import totals
 from ..operators import stats as st
 from ..operators.windows import recent_vs_history
+from ..session import cut_lineage
 from ..sources import adapters as ad
 from ..sources import tables as src
 from .aggregates import CLV_SQL, RISK, SUBS_C, flagged, risk, valued
 from .oracle import with_
 from .registry import query, rnd, text
-from .tables import profile, stored_profile, today
+from .tables import profile, stored_profile, stored_subscriptions, today
 
 
 @query("chi2_independence", SUBS_C + """, cell AS (SELECT a.plan_tier, b.churned, (SELECT count(*) FROM c WHERE c.plan_tier = a.plan_tier AND c.churned = b.churned) AS observed FROM (SELECT DISTINCT plan_tier FROM c) a, (SELECT DISTINCT churned FROM c) b),
@@ -59,7 +60,7 @@ def posthoc_bonferroni(spark, d):
 
 @query("significance_p_values")
 def significance_p_values(spark, d):
-    return st.significance_p_values(flagged(spark, d), "churned", "region", "mrr")
+    return st.significance_p_values(cut_lineage(flagged(spark, d)), "churned", "region", "mrr")
 
 
 @query("ab_lift_test", SUBS_C + """, s AS (SELECT count(*) FILTER (WHERE plan_tier = 'BUILDING') na, count(*) FILTER (WHERE plan_tier = 'MACHINERY') nb, CAST(sum(churned) FILTER (WHERE plan_tier = 'BUILDING') AS DOUBLE) xa, CAST(sum(churned) FILTER (WHERE plan_tier = 'MACHINERY') AS DOUBLE) xb FROM c)
@@ -120,7 +121,7 @@ def minmax_scale(spark, d):
 @query("outlier_flags", with_("subs") + """, q AS (SELECT quantile_cont(mrr, 0.25) q1, quantile_cont(mrr, 0.75) q3, quantile_cont(mrr, 0.99) p99, avg(mrr) m, stddev_pop(mrr) s FROM subs)
 SELECT user_id, mrr < q1 - 1.5 * (q3 - q1) OR mrr > q3 + 1.5 * (q3 - q1) AS iqr_outlier, abs((mrr - m) / s) > 3 AS z_outlier, round(least(mrr, p99), 6) AS capped FROM subs, q""")
 def outlier_flags(spark, d):
-    return st.outlier_flags(ad.subscriptions(spark, d), "mrr").select("user_id", "iqr_outlier", "z_outlier", rnd("capped", 6).alias("capped"))
+    return st.outlier_flags(stored_subscriptions(spark, d), "mrr").select("user_id", "iqr_outlier", "z_outlier", rnd("capped", 6).alias("capped"))
 
 
 @query("feature_matrix", with_("profile") + """SELECT user_id, CAST(month(signup_date) AS INT) AS signup_month_number, total_usage, feature_count, total_events, round(mrr, 6) AS mrr, """
@@ -284,11 +285,11 @@ def mrr_forecast_drop(spark, d):
 @query("chart_data_histogram", with_("subs") + """, r AS (SELECT min(mrr) AS lo, max(mrr) AS hi FROM subs)
 SELECT CAST(least(floor((mrr - lo) / (hi - lo) * 12), 11) AS BIGINT) AS bin, count(*) AS n, round(min(mrr), 4) AS low, round(max(mrr), 4) AS high FROM subs, r WHERE mrr IS NOT NULL GROUP BY 1""")
 def chart_data_histogram(spark, d):
-    out = st.histogram(ad.subscriptions(spark, d), "mrr", 12)
+    out = st.histogram(stored_subscriptions(spark, d), "mrr", 12)
     return out.select("bin", "n", rnd("low", 4).alias("low"), rnd("high", 4).alias("high"))
 
 
 @query("chart_data_box", with_("subs") + "SELECT plan_tier, round(min(mrr), 4) AS low, round(quantile_cont(mrr, 0.25), 4) AS q1, round(median(mrr), 4) AS median, round(quantile_cont(mrr, 0.75), 4) AS q3, round(max(mrr), 4) AS high FROM subs GROUP BY 1")
 def chart_data_box(spark, d):
-    out = st.box_data(ad.subscriptions(spark, d), "plan_tier", "mrr")
+    out = st.box_data(stored_subscriptions(spark, d), "plan_tier", "mrr")
     return out.select("plan_tier", *[rnd(c, 4).alias(c) for c in ("low", "q1", "median", "q3", "high")])

@@ -22,6 +22,11 @@ def profile(spark, d):
     return joins.profile(ad.subscriptions(spark, d), ad.user_events(spark, d), ad.feature_usage(spark, d))
 
 
+def stored_subscriptions(spark, d):
+    """Subscriptions as a written table, likewise."""
+    return cut_lineage(ad.subscriptions(spark, d))
+
+
 def stored_profile(spark, d):
     """The profile as a written table, for queries that pass over it several times."""
     return cut_lineage(profile(spark, d))
@@ -101,7 +106,7 @@ def schema_null_audit(spark, d):
 SELECT column_name, count(x) AS count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std, round(min(x), 4) AS min, round(quantile_cont(x, 0.25), 4) AS q25,
  round(quantile_cont(x, 0.5), 4) AS q50, round(quantile_cont(x, 0.75), 4) AS q75, round(max(x), 4) AS max FROM long GROUP BY 1""")
 def describe_table(spark, d):
-    out = clean.describe(ad.subscriptions(spark, d), ["mrr", "tenure_days"])
+    out = clean.describe(stored_subscriptions(spark, d), ["mrr", "tenure_days"])
     return out.select("column_name", "count", *[rnd(c, 4).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scale import newest, quantile_scalars
 from ..operators import clean, sessions as ses, windows as win
 from ..operators.textops import first_distinct, overlap, parties
+from ..session import cut_lineage
 from ..sources import adapters as ad
 from ..sources import tables as src
 from .aggregates import DAU_SQL, daily_users, month
@@ -18,7 +19,7 @@ GRID_SQL = DAU_SQL + ", b AS (SELECT region, avg(users) AS m, stddev_pop(users)
 
 
 def grid(spark, d):
-    return win.against_group(daily_users(spark, d), "region", "users")
+    return win.against_group(cut_lineage(daily_users(spark, d)), "region", "users")
 
 
 @query("baseline_ratio", GRID_SQL + "SELECT CAST(day AS VARCHAR) AS day, d.region, users, round(users / m, 6) AS ratio FROM dau d JOIN b ON d.region = b.region")
@@ -107,7 +108,7 @@ m AS (SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR epoch_us(ts) - epoch_us(
 s AS (SELECT user_id, session_no, count(*) AS events, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE AS seconds FROM m GROUP BY 1, 2)
 SELECT count(*) AS sessions, CAST(sum(events) AS BIGINT) AS events, round(avg(seconds), 4) AS mean_seconds, round(quantile_cont(seconds, 0.5), 4) AS p50_seconds, round(quantile_cont(seconds, 0.95), 4) AS p95_seconds FROM s""")
 def session_duration(spark, d):
-    s = win.sessions(ad.user_events(spark, d), 6 * 3600)
+    s = cut_lineage(win.sessions(ad.user_events(spark, d), 6 * 3600))
     q = quantile_scalars(s, "seconds", {"p50": 0.5, "p95": 0.95})
     out = s.agg(F.count("*").alias("sessions"), F.sum("events").alias("events"), rnd(F.avg("seconds"), 4).alias("mean_seconds"))
     return out.select("*", rnd(q["p50"], 4).alias("p50_seconds"), rnd(q["p95"], 4).alias("p95_seconds"))
