@@ -320,9 +320,18 @@ def box_data(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def forecast_drop(monthly: DataFrame, user: str, month_no: str, value: str, next_month: int, drop: float = 0.2) -> DataFrame:
-    """Straight-line forecast of the next month per user against the user's mean, flagged when it falls by ``drop``."""
-    fit = monthly.groupBy(user).agg(F.regr_slope(value, month_no).alias("slope"), F.regr_intercept(value, month_no).alias("intercept"), F.avg(value).alias("mean_value"), F.count("*").alias("months"))
-    fit = fit.withColumn("forecast", F.greatest(F.col("intercept") + F.col("slope") * next_month, F.lit(0.0)))
+    """Least-squares line per user, its value in the next month, flagged when it falls by ``drop`` below the user's mean.
+
+    ``value`` is a decimal: its sums are exact, so the line does not depend on the order of rows.
+    """
+    x, v = F.col(month_no).cast("bigint"), F.col(value)
+    fit = monthly.groupBy(user).agg(
+        F.count("*").alias("months"), F.sum(x).cast("double").alias("_x"), F.sum(x * x).cast("double").alias("_xx"),
+        F.sum(v).cast("double").alias("_v"), F.sum(v * x).cast("double").alias("_xv"),
+    )
+    n = F.col("months").cast("double")
+    slope = F.try_divide(n * F.col("_xv") - F.col("_x") * F.col("_v"), n * F.col("_xx") - F.col("_x") * F.col("_x"))
+    fit = fit.withColumn("mean_value", F.col("_v") / n).withColumn("slope", slope)
+    ahead = F.col("mean_value") + F.col("slope") * (F.lit(float(next_month)) - F.col("_x") / n)
+    fit = fit.withColumn("forecast", F.greatest(ahead, F.lit(0.0))).drop("_x", "_xx", "_v", "_xv")
     return fit.withColumn("is_drop", F.col("forecast") < F.col("mean_value") * (1 - drop))
-
-
