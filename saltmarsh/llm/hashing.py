@@ -118,3 +118,27 @@ def groups_of(texts: pa.Array, most_bytes: int = 8 << 20):
         b = max(a + 1, int(np.searchsorted(at, at[a] + most_bytes, side="right")) - 1)
         yield a, min(b, len(texts))
         a = b
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ascending spans of the bytes as they are."""
+    _, _, power, inverse = _tables()
+    value = np.random.default_rng(20240301).integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
+    out = np.zeros(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + STEP, side="right")))
+        lo, hi = int(starts[a]), int(ends[b - 1])
+        if hi - lo > STEP:  # one long span, in pieces
+            h = _U(0)
+            for p in range(lo, hi, STEP):
+                part = raw[p : min(p + STEP, hi)]
+                h = mix(np.array([h * _U(0xC2B2AE3D27D4EB4F) + (value[part] * power[: len(part)]).sum(dtype=np.uint64)]))[0]
+            out[a] = h
+        else:
+            sums = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum(value[raw[lo:hi]] * power[: hi - lo], out=sums[1:])
+            s, e = starts[a:b] - lo, ends[a:b] - lo
+            out[a:b] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
+        a = b
+    return out

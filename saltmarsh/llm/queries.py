@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import near_dups, quality
+from saltmarsh.llm import decontaminate, fingerprints, html_text, licenses, mixing, near_dups, quality, token_counts, tokens, urls
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +31,102 @@ def op9_quality(spark, sf_dir):
     model = quality.fit_quality(docs, read(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, "text", ["doc_id"])
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_mix_sources(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nr FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE (nr - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s
+), f AS (
+  SELECT *, row_number() OVER (ORDER BY 3 * source_size / weight, nr) AS pos,
+         ((sum(source_size) OVER ()) - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+         / (sum(weight) OVER (ORDER BY 3 * source_size / weight, nr ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM w
+), o AS (SELECT min(pos) AS pos FROM f WHERE 3 * source_size >= weight * level
+), t AS (
+  SELECT f.source, f.source_size,
+         CASE WHEN f.pos < o.pos THEN (3 * f.source_size)::DOUBLE ELSE f.weight * (SELECT level FROM f AS g WHERE g.pos = o.pos) END AS target
+  FROM f, o
+), p AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS copies FROM t
+), r AS (
+  SELECT d.doc_id, d.size, d.h, p.source_size, p.target, p.copies, floor(p.target)::BIGINT - p.copies * p.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h RANGE UNBOUNDED PRECEDING)::BIGINT AS upto,
+         sum(d.size) OVER (PARTITION BY d.source, d.h)::BIGINT AS same
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+       (copies * size + CASE WHEN upto <= rest THEN size WHEN upto - same >= rest THEN 0 ELSE ((rest - upto + same)::HUGEINT * size // same) END)::BIGINT AS taken
+FROM r
+"""
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.benchmark_matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_url_filter(spark, sf_dir):
+    return urls.filter_urls(read(spark, sf_dir, "pages"))
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    return tokens.token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op1_main_text(spark, sf_dir):
+    return html_text.extract_text(read(spark, sf_dir, "pages"))
+
+
+@query
+def op7_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query
+def op2_edited_token_counts(spark, sf_dir):
+    """Three edits a document: a stretch from its start put in for ten characters at a third, five characters
+    gone in the middle, and two words put in front."""
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    n = F.length("text").cast("long")
+
+    def edit(seq, at, delete, insert):
+        return F.struct(F.lit(seq).cast("long").alias("seq"), at.cast("long").alias("at"), F.lit(delete).cast("long").alias("delete"), insert.alias("insert"))
+
+    edits = F.array(
+        edit(0, F.floor(n / 3), 10, F.substring("text", 1, 40)),
+        edit(1, F.floor(n / 2), 5, F.lit("")),
+        edit(2, F.lit(0), 0, F.lit("As follows: ")),
+    )
+    return token_counts.edited_counts(docs, edits, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    """Documents as files: source/lang/k/doc_id with a hundred ids to a folder k; the first document of each folder, and of
+    each source and language, stands as its licence file."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce("source", F.lit("none")).alias("s"), F.coalesce("lang", F.lit("none")).alias("l"))
+    docs = docs.withColumn("k", F.floor(F.col("doc_id") / 100).cast("string"))
+    first = docs.groupBy("s", "l", "k").agg(F.min("doc_id").alias("f3"))
+    second = first.groupBy("s", "l").agg(F.min("f3").alias("f2"))
+    heads = first.join(second, ["s", "l"])
+    at = F.when(F.col("doc_id") == F.col("f2"), F.concat_ws("/", "s", "l", F.lit("LICENSE"))).when(F.col("doc_id") == F.col("f3"), F.concat_ws("/", "s", "l", "k", F.lit("LICENSE")))
+    files = docs.join(F.broadcast(heads) if heads.count() <= 500_000 else heads, ["s", "l", "k"], "left")
+    return licenses.scan_licenses(files.withColumn("path", F.coalesce(at, F.concat_ws("/", "s", "l", "k", "doc_id"))))
