@@ -120,10 +120,15 @@ def groups_of(texts: pa.Array, most_bytes: int = 8 << 20):
         a = b
 
 
+@lru_cache(1)
+def _plain() -> np.ndarray:
+    return np.random.default_rng(20240301).integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of ascending spans of the bytes as they are."""
     _, _, power, inverse = _tables()
-    value = np.random.default_rng(20240301).integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
+    value = _plain()
     out = np.zeros(len(starts), np.uint64)
     a = 0
     while a < len(starts):

@@ -96,7 +96,7 @@ def _counts(path: str):
         coder = encoder(path)
 
         def count(text: str) -> int:
-            return len(coder.encode(pa.array([text]))[0])
+            return len(coder.tokenizer.encode(text, add_special_tokens=False).ids)
 
         for batch in batches:
             rows = []

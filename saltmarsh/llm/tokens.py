@@ -16,7 +16,7 @@ from saltmarsh.session import scratch_path
 
 BLOCK = 512  # ids between two checkpoints
 MOST_BITS = 18  # longest code; the decoding table has 2 ** MOST_BITS entries
-MEMO = 1 << 22  # places of the memo of encoded pieces
+MEMO = 1 << 21  # places of the memo of encoded pieces
 END = 0  # id appended to each document
 
 
@@ -49,7 +49,8 @@ class Encoder:
     def _clear(self):
         self.keys = np.zeros(MEMO, np.uint64)
         self.slot = np.zeros(MEMO, np.int32)
-        self.start, self.length, self.size, self.used = [0], [0], [0], 0
+        self.start, self.length, self.size = np.zeros(MEMO, np.int64), np.zeros(MEMO, np.int32), np.zeros(MEMO, np.int32)
+        self.used = 0
         self.pool = np.zeros(1 << 20, self.type)
         self.fill = 0
 
@@ -65,12 +66,10 @@ class Encoder:
                 at = key & (MEMO - 1)
                 while self.slot[at]:
                     at = (at + 1) & (MEMO - 1)
-                self.keys[at], self.slot[at] = key, len(self.start)
-                self.start.append(self.fill)
-                self.length.append(len(ids))
-                self.size.append(size)
-                self.fill += len(ids)
                 self.used += 1
+                self.keys[at], self.slot[at] = key, self.used
+                self.start[self.used], self.length[self.used], self.size[self.used] = self.fill, len(ids), size
+                self.fill += len(ids)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int32)
@@ -103,7 +102,7 @@ class Encoder:
             owner = np.searchsorted(at, starts, side="right") - 1
             ends = np.minimum(np.append(starts[1:], len(raw)), at[owner + 1]) if len(starts) else starts
             keys = span_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64)
-            if self.used > MEMO // 2:
+            if self.used + len(keys) > MEMO * 3 // 4 and self.used:
                 self._clear()
             slots = self._find(keys)
             miss = np.flatnonzero(slots == 0)
@@ -111,12 +110,12 @@ class Encoder:
                 new, first = np.unique(keys[miss], return_index=True)
                 where = miss[first]
                 pieces = [raw[a:b].tobytes().decode() for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-                for a in range(0, len(pieces), MEMO // 4):
-                    self._learn(new[a : a + MEMO // 4], pieces[a : a + MEMO // 4], (ends[where] - starts[where])[a : a + MEMO // 4].tolist())
+                sizes = (ends[where] - starts[where]).tolist()
+                self._learn(new, pieces, sizes)
                 slots[miss] = self._find(keys[miss])
-            length = np.array(self.length, np.int64)[slots]
-            begin = np.array(self.start, np.int64)[slots]
-            odd = np.flatnonzero(np.array(self.size, np.int64)[slots] != ends - starts)
+            length = self.length[slots].astype(np.int64)
+            begin = self.start[slots]
+            odd = np.flatnonzero(self.size[slots] != ends - starts)
             if len(odd):  # two pieces of one hash
                 whole[owner[odd]] = True
                 keep = ~whole[owner]
