@@ -51,25 +51,20 @@ def _bits(h: str, level: int) -> Column:
     return F.shiftright(F.col(h), low).bitwiseAND(F.lit((1 << LEVELS[level]) - 1)).cast("int")
 
 
-def mix(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, most: int = 3
-) -> DataFrame:
-    """(id, size, source_size, target, taken) per row of ``df``: the words that the mix takes of each document.
+def _key(source: Column | str) -> Column:
+    source = F.col(source) if isinstance(source, str) else source
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
 
-    A source with target t and size S is taken floor(t / S) times as a whole. The rest is the
-    documents below a threshold of their ids' hash, found by histograms: words per source and hash
-    bucket, then only the bucket that holds the budget, bit range by bit range. Documents whose hash
-    is the threshold share what is left in proportion to their sizes, rounded down; with distinct ids
-    that is one document and the source's taken words are floor(t). Thresholds are nested: a larger
-    budget takes what a smaller one takes, and reruns agree.
 
-    Null text: size 0. Null source: a source of its own, last. Null id: hashed as empty text.
-    Repeated rows count each. Other columns are not read. An empty table gives an empty table.
-    """
+def _narrow(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     rows = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), place(id_col).alias("h"))
-    rows = cut_lineage(rows.withColumn("s", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
-    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    sources = sources.withColumn("s", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    return cut_lineage(rows.withColumn("s", _key("source")))
+
+
+def thresholds(rows: DataFrame, weights: tuple = WEIGHTS, most: int = 3) -> DataFrame:
+    """Per source of ``rows`` (s, source, size, h): size, target, whole copies, and the hash up to which documents are
+    taken once more, with what the documents at that very hash have and may give."""
+    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most).withColumn("s", _key("source"))
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     sources = cut_lineage(sources.withColumn("copies", copies).withColumn("left", F.floor("target").cast("long") - F.col("copies") * F.col("source_size")))
     open_ = sources.where("left > 0").select("s", "left")
@@ -89,28 +84,51 @@ def mix(
     for level, width in enumerate(LEVELS):
         value = value * F.lit(1 << width) + F.col(f"b{level}")
     edge = edge.select("s", value.alias("edge"), F.col("left").alias("edge_left"), F.col("words").alias("edge_words"))
-    plan = sources.join(edge, "s", "left").select("s", "source_size", "target", "copies", "edge", "edge_left", "edge_words")
-    part = F.floor(F.col("edge_left").cast("decimal(38,0)") * F.col("size") / F.col("edge_words")).cast("long")
-    extra = F.when(F.col("h") < F.col("edge"), F.col("size")).when(F.col("h") == F.col("edge"), part).otherwise(0)
-    taken = F.col("copies") * F.col("size") + extra
-    return rows.join(plan, "s").select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
+    return sources.join(edge, "s", "left").select("s", "source_size", "target", "copies", "edge", "edge_left", "edge_words")
+
+
+def _taken(size: str, h: str) -> Column:
+    part = F.floor(F.col("edge_left").cast("decimal(38,0)") * F.col(size) / F.col("edge_words")).cast("long")
+    extra = F.when(F.col(h) < F.col("edge"), F.col(size)).when(F.col(h) == F.col("edge"), part).otherwise(0)
+    return F.col("copies") * F.col(size) + extra
+
 
+def mix(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, most: int = 3
+) -> DataFrame:
+    """(id, size, source_size, target, taken) per row of ``df``: the words that the mix takes of each document.
+
+    A source with target t and size S is taken floor(t / S) times as a whole. The rest is the
+    documents below a threshold of their ids' hash, found by histograms: words per source and hash
+    bucket, then only the bucket that holds the budget, bit range by bit range. Documents whose hash
+    is the threshold share what is left in proportion to their sizes, rounded down; with distinct ids
+    that is one document and the source's taken words are floor(t). Thresholds are nested: a larger
+    budget takes what a smaller one takes, and reruns agree.
 
-def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix as rows of ``df``: a document taken q times and p words over gives q rows and one with its first p words.
+    Null text: size 0. Null source: a source of its own, last. Null id: hashed as empty text.
+    Repeated rows count each. Other columns are not read. An empty table gives an empty table.
+    """
+    rows = _narrow(df, id_col, text_col, source_col)
+    placed = rows.join(thresholds(rows, weights, most), "s")
+    return placed.select(F.col("id").alias(id_col), "size", "source_size", "target", _taken("size", "h").alias("taken"))
+
+
+def mixed_documents(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, most: int = 3
+) -> DataFrame:
+    """The mix as rows of ``df``, all columns: a document taken q times and p words over gives q rows and one with its first p words.
 
-    The words of that last one are joined by one space. Rows that share id, text and source are mixed each for itself.
-    Length columns are not changed; see the pipeline for that.
+    The words of that last one are joined by one space. Cases as in :func:`mix`; columns that hold lengths are not changed.
+    Column names that begin with ``_mix_`` are taken.
     """
-    names = df.columns
-    key = F.xxhash64(id_col, text_col, source_col)
-    amounts = mix(df.select(F.struct(F.col(id_col).alias("i"), key.alias("k")).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), "id", "text", "source")
-    amounts = amounts.where("taken > 0").groupBy("id").agg(F.max("taken").alias("_taken"), F.max("size").alias("_size"))
-    amounts = amounts.select(F.col("id.i").alias("_i"), F.col("id.k").alias("_k"), "_taken", "_size")
-    kept = df.withColumn("_key", key).join(amounts, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")))
-    times = F.ceil(F.col("_taken") / F.col("_size")).cast("int")
-    kept = kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
-    over = F.col("_taken") - (F.col("_copy") - 1).cast("long") * F.col("_size")
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})")), F.lit(1), F.greatest(over, F.lit(1)).cast("int")), " ")
-    kept = kept.withColumn(text_col, F.when(over >= F.col("_size"), F.col(text_col)).otherwise(cut))
-    return kept.select(*[F.col(f"`{c}`") for c in names])
+    plan = thresholds(_narrow(df, id_col, text_col, source_col), weights, most)
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(own.alias("_mix_row"), F.col(text_col).alias("_mix_text"), word_count(text_col).alias("_mix_size"), place(id_col).alias("_mix_h"), _key(source_col).alias("s"))
+    rows = rows.join(plan, "s").withColumn("_mix_taken", _taken("_mix_size", "_mix_h")).where("_mix_taken > 0")
+    times = F.ceil(F.col("_mix_taken") / F.col("_mix_size")).cast("int")
+    rows = rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), times)))
+    over = F.col("_mix_taken") - (F.col("_mix_copy") - 1).cast("long") * F.col("_mix_size")
+    words = F.regexp_extract_all(F.col("_mix_text"), F.lit(f"({WORD})"))
+    cut = F.array_join(F.slice(words, F.lit(1), F.greatest(over, F.lit(1)).cast("int")), " ")
+    text = F.when(over >= F.col("_mix_size"), F.col("_mix_text")).otherwise(cut)
+    return rows.select(*[text.alias(c) if c == text_col else F.col("_mix_row")[c].alias(c) for c in df.columns])
