@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 SEGMENT = 1024  # bytes compressed at once, so that a dictionary counts for all of a long text
 DICTIONARY = 112 << 10  # bytes of a trained dictionary
+TRUST = 64  # bytes at which a text's own evidence counts as much as the share of label 1
 SAMPLE_ROWS = 4000  # labelled rows of each label that a model is fitted on, at most
 SAMPLE_CHARS = 8192  # code points taken of each of them, from a place set by the row's id
 
@@ -27,7 +28,7 @@ class CompressionModel:
     prior: float
 
     def measure(self):
-        """A function from the bytes of a text to its difference: compressed size with the bad dictionary less
+        """A function from the bytes of a text to its difference and its length; the difference is its compressed size with the bad dictionary less
         that with the good one, per byte of text, summed over all segments."""
         packers = []
         for d in (self.good, self.bad):
@@ -35,14 +36,17 @@ class CompressionModel:
             ready.precompute_compress(level=3)
             packers.append(zstandard.ZstdCompressor(dict_data=ready, write_content_size=False, write_checksum=False, write_dict_id=False))
 
-        def difference(raw: bytes) -> float:
+        def difference(raw: bytes) -> tuple[float, int]:
             good, bad = (sum(len(p.compress(raw[i : i + SEGMENT])) for i in range(0, len(raw), SEGMENT)) for p in packers)
-            return (bad - good) / max(1, len(raw))
+            return (bad - good) / max(1, len(raw)), len(raw)
 
         return difference
 
-    def probability(self, difference: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * np.clip(difference, -0.3, 0.3) + self.offset)))
+    def probability(self, measured: np.ndarray) -> np.ndarray:
+        """Of label 1, from rows of (difference, length); the shorter a text, the nearer to the share of label 1."""
+        own = measured[:, 1] / (measured[:, 1] + TRUST)
+        share = np.log(max(self.prior, 1e-6) / max(1 - self.prior, 1e-6))
+        return 1 / (1 + np.exp(-(own * (self.slope * np.clip(measured[:, 0], -0.3, 0.3) + self.offset) + (1 - own) * share)))
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
@@ -58,12 +62,12 @@ def _dictionary(texts: list[bytes]) -> bytes:
             return b""
 
 
-def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve by Newton's method, with a little ridge on the slope."""
+def _curve(x: np.ndarray, own: np.ndarray, share: float, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic curve ``own * (slope * x + offset) + (1 - own) * share`` by Newton's method, with a little ridge."""
     beta = np.zeros(2)
-    design = np.column_stack([x, np.ones_like(x)])
+    design = np.column_stack([own * x, own])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-design @ beta))
+        p = 1 / (1 + np.exp(-(design @ beta + (1 - own) * share)))
         slope = design.T @ (weight * (y - p)) - np.array([1e-3, 1e-3]) * beta
         curve = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag([1e-3, 1e-3])
         step = np.linalg.solve(curve, slope)
@@ -99,11 +103,12 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, order: Column, rows:
         return flat
     measure = CompressionModel(dictionaries[1], dictionaries[0], 0, 0, prior).measure()
     check = {c: sample[c][1::2] or sample[c] for c in (0, 1)}
-    x = np.clip([measure(t) for c in (0, 1) for t in check[c]], -0.3, 0.3)
+    measured = np.array([measure(t) for c in (0, 1) for t in check[c]])
     y = np.repeat([0.0, 1.0], [len(check[0]), len(check[1])])
     n = len(y)
     weight = np.where(y == 1, prior * n / len(check[1]), (1 - prior) * n / len(check[0]))
-    slope, offset = _curve(x, y, weight)
+    own, share = measured[:, 1] / (measured[:, 1] + TRUST), float(np.log(prior / (1 - prior)))
+    slope, offset = _curve(np.clip(measured[:, 0], -0.3, 0.3), own, share, y, weight)
     return CompressionModel(dictionaries[1], dictionaries[0], slope, offset, prior)
 
 
