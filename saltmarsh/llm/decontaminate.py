@@ -9,7 +9,7 @@ from saltmarsh.session import cut_lineage
 
 SHINGLE = 5
 RADIUS = 20  # bits of 64 in which the fingerprints of a window and its item may differ
-SMALL = 2_000_000  # item shingles that may be broadcast (16 bytes each)
+SMALL = 2_000_000  # item shingles, or keys of documents that hold one, that may be broadcast (16 and 8 bytes each)
 
 
 def words(text: Column | str) -> Column:
@@ -87,7 +87,10 @@ def benchmark_matches(
     found = cut_lineage(found.join(hint(spots.select("h").distinct()), "h", "left_semi"))
     starts = found.join(hint(spots), "h").select("doc", "row", "item", "m", F.greatest(F.col("pos") - F.col("ipos"), F.lit(0)).alias("start")).distinct()
 
-    texts = d.join(found.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"]).select("row", "dw")
+    held_rows = cut_lineage(found.select("row").distinct())
+    held_rows = F.broadcast(held_rows) if held_rows.count() <= SMALL else held_rows
+    texts = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("t")).join(held_rows, "row", "left_semi")
+    texts = texts.dropDuplicates(["row"]).select("row", words("t").alias("dw"))
     window = F.slice("dw", F.col("start") + 1, F.col("m"))
     held = starts.join(texts, "row").select("doc", "row", "item", "m", "start", window.alias("win"))
     held = held.select("doc", "row", "item", "m", "start", shingles(F.col("win"), width).alias("wsh"), simhash(F.col("win")).alias("wprint"))

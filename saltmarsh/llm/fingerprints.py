@@ -22,25 +22,27 @@ def sketch(shingles: np.ndarray, bins: int = BINS, bits: int = LOW_BITS) -> np.n
     """Low-order bits of the least hash in each bin; None for an empty set.
 
     Every shingle is hashed once. An empty bin takes the value of the first filled one among bins
-    that hashes of (bin, attempt) name, the same for every set.
+    that hashes of (bin, attempt) name, the same for every set. The bits kept are those of a hash of value
+    and bin, so that bins which share a value agree by chance each for itself.
     """
     if not len(shingles):
         return None
     keys = np.sort(mix(shingles * _U(0xD1342543DE82EF95) + _U(1)))
     at = (keys >> _U(64 - (bins.bit_length() - 1))).astype(np.int64)
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    value = np.zeros(bins, np.uint8)
+    least = np.zeros(bins, np.uint64)
     filled = np.zeros(bins, bool)
     filled[at[first]] = True
-    value[at[first]] = (mix(keys[first]) & _U((1 << bits) - 1)).astype(np.uint8)
+    least[at[first]] = keys[first]
     empty, attempt = np.flatnonzero(~filled), 0
     while len(empty):
         attempt += 1
         source = (mix(empty.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(attempt)) & _U(bins - 1)).astype(np.int64)
         ready = filled[source]
-        value[empty[ready]] = value[source[ready]]
+        least[empty[ready]] = least[source[ready]]
         empty = empty[~ready]
-    return value
+    own = np.arange(bins, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)
+    return (mix(least ^ own) & _U((1 << bits) - 1)).astype(np.uint8)
 
 
 def packed(value: np.ndarray | None) -> str:
