@@ -17,6 +17,7 @@ from saltmarsh.session import scratch_path
 BLOCK = 512  # ids between two checkpoints
 MOST_BITS = 18  # longest code; the decoding table has 2 ** MOST_BITS entries
 MEMO = 1 << 21  # places of the memo of encoded pieces
+PIECE = 3 << 20  # bytes of text encoded at once, if a single text is not longer
 END = 0  # id appended to each document
 
 
@@ -102,12 +103,17 @@ class Encoder:
             owner = np.searchsorted(at, starts, side="right") - 1
             ends = np.minimum(np.append(starts[1:], len(raw)), at[owner + 1]) if len(starts) else starts
             keys = span_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64)
-            if self.used + len(keys) > MEMO * 3 // 4 and self.used:
-                self._clear()
             slots = self._find(keys)
             miss = np.flatnonzero(slots == 0)
             if len(miss):
                 new, first = np.unique(keys[miss], return_index=True)
+                if len(new) > MEMO * 3 // 4:  # one very long text
+                    parts = [np.array(x, self.type) for x in self._whole([raw[a:b].tobytes().decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist())])]
+                    return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
+                if self.used and self.used + len(new) > MEMO * 3 // 4:
+                    self._clear()
+                    miss = np.arange(len(keys))
+                    new, first = np.unique(keys, return_index=True)
                 where = miss[first]
                 pieces = [raw[a:b].tobytes().decode() for a, b in zip(starts[where].tolist(), ends[where].tolist())]
                 sizes = (ends[where] - starts[where]).tolist()
@@ -235,7 +241,7 @@ def _encode(path: str):
     def run(batches):
         coder = encoder(path)
         for batch in batches:
-            for a, b in groups_of(batch.column(1)):
+            for a, b in groups_of(batch.column(1), PIECE):
                 ids, place = coder.encode(batch.column(1)[a:b])
                 ids = np.insert(ids, place[1:], END)
                 place = place + np.arange(len(place))
