@@ -20,10 +20,10 @@ usage_stats_global user_top_decile user_feature_summary churn_by_plan_region act
 cross_sell_pairs upgrade_patterns risk_bucket_lift grouping_totals sort_desc_limit
 region_zscore_anomaly retention_matrix conversion_funnel session_duration history_token_budget latest_checkpoint
 checkpoint_history cache_hit_flag p95_index_method word_overlap
-classify_content document_flow detect_language pii_redact ticket_rules_triage preference_product_match
+classify_content doc_pipeline detect_language pii_redact ticket_rules_triage preference_product_match
 chunk_fixed chunk_recursive similarity_search bm25_search text_similarity_metrics eval_summary slo_report approval_metrics approval_sla
 chi2_independence anova_oneway correlation_matrix standard_scale roc_auc pr_curve feature_drift
-logistic_regression kmeans dbscan pca_variance stream_event_counts
+logistic_regression cluster_by_cohort kmeans dbscan pca_variance stream_event_counts
 """.split()
 
 

@@ -25,6 +25,16 @@ def attach_quantiles(target: DataFrame, source: DataFrame, value: str, probs: di
     return target.withColumn(name, quantiles(source, value, probs).select(F.struct(*probs).alias("one")).scalar())
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list, how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; the keys come from the left."""
+    if not keys:
+        raise ValueError("no keys to join on")
+    own = [f"_right{i}" for i in range(len(keys))]
+    other = right.select(*[F.col(k).alias(n) for k, n in zip(keys, own)], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, own)])
+    return left.join(other, same, how).drop(*own)
+
+
 def quantiles(
     df: DataFrame, value: str, probs: dict[str, float], keys: tuple | list = (), accuracy: int = 10_000, index: bool = False
 ) -> DataFrame:
@@ -67,7 +77,7 @@ def quantiles(
         )
     )
     if keys:
-        rows = rows.join(brackets, keys)
+        rows = null_safe_join(rows, brackets, keys)
     else:
         one = brackets.select(F.struct("_n", "_lo", "_hi").alias("b")).scalar()
         rows = rows.select("_v", one["_n"].alias("_n"), one["_lo"].alias("_lo"), one["_hi"].alias("_hi"))
@@ -140,7 +150,7 @@ def running(df: DataFrame, keys: list, order: list, block: Column, **sums: Colum
     )
     for name in sums:
         work = work.withColumn(f"_l_{name}", F.sum(f"_in_{name}").over(inside))
-    work = work.join(offsets, [*keys, "_block"])
+    work = null_safe_join(work, offsets, [*keys, "_block"])
     for name in sums:
         work = work.withColumn(name, F.col(f"_l_{name}") + F.col(f"_o_{name}"))
     spare = ["_block"] + [f"{p}{n}" for n in sums for p in ("_in_", "_l_", "_o_")]
@@ -156,7 +166,8 @@ def previous(df: DataFrame, keys: list, order: list, block: Column, values: list
     tails = tails.select(
         *keys, "_block", F.lag(F.col("_t._row")).over(W.partitionBy(*keys).orderBy("_block")).alias("_tail")
     )
-    work = work.withColumn("_lag", F.lag(row).over(inside)).join(tails, [*keys, "_block"])
+    work = work.withColumn("_lag", F.lag(row).over(inside))
+    work = null_safe_join(work, tails, [*keys, "_block"])
     before = F.coalesce("_lag", "_tail")
     return work.select(*df.columns, *[before[v].alias(f"{prefix}{v}") for v in values])
 

@@ -7,13 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scale import attach, attach_quantiles, quantile_scalars, quantiles, running, totals
+from ..functions.scale import attach, attach_quantiles, null_safe_join, quantile_scalars, quantiles, running, totals
 from ..functions.special import binomial_interval_udf, p_value_udf
 from ..session import cut_lineage
 
-MAX_LEVELS = 1000
-
-
 # ---- tests
 
 
@@ -25,11 +22,11 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     n = totals(cells, n=F.sum("observed"))["n"]
     # cells that never occur count with observed 0, so every level pair is laid out
     levels = by_b.agg(F.collect_list(F.struct(b, "n_b")).alias("l")).scalar()
-    full = by_a.select(a, "n_a", F.inline(levels)).join(cells, [a, b], "left").fillna(0, ["observed"])
+    full = null_safe_join(by_a.select(a, "n_a", F.inline(levels)), cells, [a, b], "left").fillna(0, ["observed"])
     full = full.withColumn("expected", F.col("n_a") * F.col("n_b") / n)
     s = totals(
         full, chi2=F.sum(F.try_divide(F.pow(F.col("observed") - F.col("expected"), 2), "expected")),
-        dof=((F.countDistinct(a) - 1) * (F.countDistinct(b) - 1)).cast("double"),
+        dof=((F.countDistinct(F.struct(a)) - 1) * (F.countDistinct(F.struct(b)) - 1)).cast("double"),
     )
     p = p_value_udf()
     out = full.select(a, b, "observed", "expected", s["chi2"].alias("chi2"), s["dof"].alias("dof"))
@@ -130,11 +127,10 @@ def variances(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
     return one.unpivot([], columns, "feature", "variance").withColumn("keep", F.col("variance") > threshold)
 
 
-def one_hot(df: DataFrame, column: str, prefix: str) -> DataFrame:
-    """0/1 column per level, the first in order left out; the level list is small by check."""
-    levels = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
-    if len(levels) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
+def one_hot(df: DataFrame, column: str, prefix: str, levels: list | None = None) -> DataFrame:
+    """0/1 column per level, the first in order left out. The levels, one for each output column, come to the driver if they are not given."""
+    if levels is None:
+        levels = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect()]
     return df.select("*", *[(F.col(column) == v).cast("int").alias(f"{prefix}_{v}") for v in sorted(levels)[1:]])
 
 
@@ -165,11 +161,11 @@ def target_encoding(df: DataFrame, category: str, label: str, key: str, folds: i
     rows = df.withColumn("fold", hash_share(key) % folds)
     per_fold = rows.groupBy(category, "fold").agg(F.sum(label).alias("s"), F.count("*").alias("n"))
     whole = per_fold.groupBy(category).agg(F.sum("s").alias("s_all"), F.sum("n").alias("n_all"))
-    codes = per_fold.join(whole, category).select(
+    codes = null_safe_join(per_fold, whole, [category]).select(
         category, "fold", (F.col("s_all") / F.col("n_all")).alias("encoded"),
         F.try_divide(F.col("s_all") - F.col("s"), F.col("n_all") - F.col("n")).alias("encoded_oof"),
     )
-    return rows.join(codes, [category, "fold"])
+    return null_safe_join(rows, codes, [category, "fold"])
 
 
 def standard_scale(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -322,7 +318,8 @@ def box_data(df: DataFrame, group: str, value: str) -> DataFrame:
 def forecast_drop(monthly: DataFrame, user: str, month_no: str, value: str, next_month: int, drop: float = 0.2) -> DataFrame:
     """Least-squares line per user, its value in the next month, flagged when it falls by ``drop`` below the user's mean.
 
-    ``value`` is a decimal: its sums are exact, so the line does not depend on the order of rows.
+    ``value`` is a decimal: its sums are exact, so the line does not depend on the order of rows. A user with one month has no line:
+    the forecast and the flag are NULL.
     """
     x, v = F.col(month_no).cast("bigint"), F.col(value)
     fit = monthly.groupBy(user).agg(
@@ -333,5 +330,5 @@ def forecast_drop(monthly: DataFrame, user: str, month_no: str, value: str, next
     slope = F.try_divide(n * F.col("_xv") - F.col("_x") * F.col("_v"), n * F.col("_xx") - F.col("_x") * F.col("_x"))
     fit = fit.withColumn("mean_value", F.col("_v") / n).withColumn("slope", slope)
     ahead = F.col("mean_value") + F.col("slope") * (F.lit(float(next_month)) - F.col("_x") / n)
-    fit = fit.withColumn("forecast", F.greatest(ahead, F.lit(0.0))).drop("_x", "_xx", "_v", "_xv")
+    fit = fit.withColumn("forecast", F.when(F.col("months") > 1, F.greatest(ahead, F.lit(0.0)))).drop("_x", "_xx", "_v", "_xv")
     return fit.withColumn("is_drop", F.col("forecast") < F.col("mean_value") * (1 - drop))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scale import micros, newest, previous, quantiles, running
+from ..functions.scale import micros, newest, null_safe_join, previous, quantiles, running
 from ..session import cut_lineage
 
 
@@ -15,7 +15,7 @@ def against_group(df: DataFrame, group: str, value: str) -> DataFrame:
     base = df.groupBy(group).agg(F.avg(value).alias("base_mean"), F.stddev_pop(value).alias("base_std"))
     x = F.col(value)
     return (
-        df.join(base, group)
+        null_safe_join(df, base, [group])
         .withColumn("ratio", F.try_divide(x, "base_mean"))
         .withColumn("deviation", x - F.col("base_mean"))
         .withColumn("z", F.try_divide(x - F.col("base_mean"), "base_std"))

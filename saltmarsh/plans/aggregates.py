@@ -96,11 +96,10 @@ def user_feature_summary(spark, d):
     return per_feature.groupBy("user_id").agg(F.count("*").alias("feature_count"), F.sum("s").alias("total_usage"), F.max("s").alias("top_feature_usage"))
 
 
-@query("user_last_active", with_("subs", "usage") + """, l AS (SELECT user_id, max(date) AS last_used FROM usage WHERE date < DATE '2001-06-01' AND date >= DATE '2001-01-01' GROUP BY 1)
+@query("user_last_active", with_("subs", "usage") + """, l AS (SELECT user_id, max(date) AS last_used FROM usage GROUP BY 1)
 SELECT s.user_id, date_diff('day', l.last_used, DATE '2001-08-02') AS days_since_active, l.last_used IS NULL AS never_active FROM subs s LEFT JOIN l ON s.user_id = l.user_id""")
 def user_last_active(spark, d):
-    usage = ad.feature_usage(spark, d).where((F.col("date") < ad.day("2001-06-01")) & (F.col("date") >= ad.day("2001-01-01")))
-    last = usage.groupBy("user_id").agg(F.max("date").alias("last_used"))
+    last = ad.feature_usage(spark, d).groupBy("user_id").agg(F.max("date").alias("last_used"))
     out = ad.subscriptions(spark, d).select("user_id").join(last, "user_id", "left")
     return out.select("user_id", F.datediff(today(), "last_used").cast("bigint").alias("days_since_active"), F.col("last_used").isNull().alias("never_active"))
 

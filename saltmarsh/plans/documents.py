@@ -147,8 +147,8 @@ def route_by_value(spark, d, limit: float = 50):
     return src.table(spark, d, "events").select("event_id", F.when(F.col("value") < limit, "low").otherwise("high").alias("route"))
 
 
-@query("document_flow", DOCS + """SELECT document_id, document_type, confidence, CAST(len(dates) AS INT) AS dates, CAST(len(amounts) AS INT) AS amounts, is_valid, summary, routing_decision, priority FROM docs""")
-def document_flow(spark, d):
+@query("doc_pipeline", DOCS + """SELECT document_id, document_type, confidence, CAST(len(dates) AS INT) AS dates, CAST(len(amounts) AS INT) AS amounts, is_valid, summary, routing_decision, priority FROM docs""")
+def doc_pipeline(spark, d):
     return tx.process_documents(papers(spark, d)).select(
         "document_id", "document_type", "confidence", F.size("dates").alias("dates"), F.size("amounts").alias("amounts"), "is_valid", "summary", "routing_decision", "priority"
     )

@@ -125,18 +125,23 @@ def rag_context(spark, d):
     return out.select("query_id", F.md5("context").alias("digest"), "sources")
 
 
-HYBRID = {0: "insults", 1: "english", 2: "german", 3: "spanish"}
+#: Every label's centroid goes with one of the keyword queries, in turn.
+WORD_QUERIES = list(SEARCHES)
 
 
 @query("hybrid_search", bm25_sql(SEARCHES) + ", " + CENTROID_SQL[5:].replace("c AS", "cc AS").replace("x AS", "xx AS").replace("FROM x ", "FROM xx ").replace(" e, c)", " e, cc)").replace("s AS (SELECT query_id, vec_id", "vs AS (SELECT query_id, vec_id").replace("FROM s)", "FROM vs)") + """,
-a AS (SELECT CASE query_id WHEN 0 THEN 'insults' WHEN 1 THEN 'english' WHEN 2 THEN 'german' ELSE 'spanish' END AS query_id, id, rank FROM r WHERE rank <= 20 AND query_id <= 3), b AS (SELECT query_id, id, rank FROM bm WHERE rank <= 20),
+a AS (SELECT CAST(query_id AS BIGINT) AS query_id, id, rank FROM r WHERE rank <= 20),
+lab AS (SELECT DISTINCT query_id, CASE query_id % 4 WHEN 0 THEN 'insults' WHEN 1 THEN 'english' WHEN 2 THEN 'german' ELSE 'spanish' END AS name FROM a),
+b AS (SELECT lab.query_id, bm.id, bm.rank FROM bm JOIN lab ON bm.query_id = lab.name WHERE rank <= 20),
 f AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.id, b.id) AS id, a.rank AS rank_a, b.rank AS rank_b, round(coalesce(1.0::DOUBLE / (60 + a.rank), 0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0), 12) AS score FROM a FULL JOIN b ON a.query_id = b.query_id AND a.id = b.id),
 g AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INT) AS rank FROM f)
 SELECT query_id, id, rank_a, rank_b, round(score, 8) AS score, rank FROM g WHERE rank <= 10""")
 def hybrid_search(spark, d):
-    name = tx.lookup(F.col("query_id"), HYBRID)
-    by_vector = nearest(spark, d, 20).withColumn("query_id", name).where(F.col("query_id").isNotNull())
-    by_word = rt.bm25(docs(spark, d), SEARCHES, 20)
+    by_vector = nearest(spark, d, 20)
+    name = F.element_at(F.array(*[F.lit(q) for q in WORD_QUERIES]), (F.col("query_id") % len(WORD_QUERIES) + 1).cast("int"))
+    labels = by_vector.select("query_id").distinct().withColumn("name", name)
+    found = rt.bm25(docs(spark, d), SEARCHES, 20).withColumnRenamed("query_id", "name")
+    by_word = found.join(labels, "name").select("query_id", "id", "rank")
     return rt.fuse_ranks(by_vector, by_word, 10).withColumn("score", rnd("score", 8))
 
 

@@ -272,14 +272,14 @@ def quality_score_composite(spark, d):
 
 @query("mrr_forecast_drop", """WITH m AS (SELECT o_custkey AS user_id, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS x, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY 1, 2),
 s AS (SELECT user_id, count(*) AS months, CAST(count(*) AS DOUBLE) AS n, CAST(sum(x) AS DOUBLE) AS sx, CAST(sum(x * x) AS DOUBLE) AS sxx, CAST(sum(v) AS DOUBLE) AS sv, CAST(sum(v * x) AS DOUBLE) AS sxv FROM m GROUP BY 1),
-f AS (SELECT user_id, months, sv / n AS mv, greatest(sv / n + (n * sxv - sx * sv) / (n * sxx - sx * sx) * (80.0::DOUBLE - sx / n), 0.0::DOUBLE) AS forecast FROM s WHERE months > 1)
-SELECT user_id, months, round(mv, 6) AS mean_value, round(forecast, 6) AS forecast, forecast < mv * (1 - 0.2::DOUBLE) AS is_drop FROM f""")
+f AS (SELECT user_id, months, sv / n AS mv, greatest(sv / n + (n * sxv - sx * sv) / (n * sxx - sx * sx) * (80.0::DOUBLE - sx / n), 0.0::DOUBLE) AS ahead FROM s), g AS (SELECT user_id, months, mv, CASE WHEN months > 1 THEN ahead END AS forecast FROM f)
+SELECT user_id, months, round(mv, 6) AS mean_value, round(forecast, 6) AS forecast, forecast < mv * (1 - 0.2::DOUBLE) AS is_drop FROM g""")
 def mrr_forecast_drop(spark, d):
     month_no = (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate")
     monthly = src.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("user_id"), month_no.alias("month_no")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("v")
     )
-    out = st.forecast_drop(monthly, "user_id", "month_no", "v", 80).where("months > 1")
+    out = st.forecast_drop(monthly, "user_id", "month_no", "v", 80)
     return out.select("user_id", "months", rnd("mean_value", 6).alias("mean_value"), rnd("forecast", 6).alias("forecast"), "is_drop")
 
 

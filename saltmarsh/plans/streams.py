@@ -25,6 +25,13 @@ def stream_event_counts(spark, d):
     return out.select(hour("started"), "event_type", "events")
 
 
+@query("stream_event_counts_sliding", """WITH s AS (SELECT ts, event_type, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS started FROM events)
+SELECT strftime(started, '%Y-%m-%d %H:%M') AS started, event_type, count(*) AS events FROM s WHERE started + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2""")
+def stream_event_counts_sliding(spark, d):
+    out = sm.drain(sm.event_counts(sm.read_stream(spark, d, "events"), "2 hours", "1 hour"), "sliding")
+    return out.select(hour("started"), "event_type", "events")
+
+
 @query("stream_sessions", """WITH l AS (SELECT user_id, event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
 m AS (SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM l)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M') AS started, count(*) AS events FROM m GROUP BY user_id, n HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")

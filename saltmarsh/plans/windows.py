@@ -193,12 +193,21 @@ def reservation_state(spark, d):
     return ses.fold_slots(updates, ["user_id", "day"], "slot", "v", F.col("event_id"), list(SLOTS.values()), ["party_size", "date", "time"])
 
 
-@query("escalate_after_5_turns", "SELECT conv_id, count(*) FILTER (WHERE role = 'user') AS user_turns FROM conversations GROUP BY 1 HAVING count(*) FILTER (WHERE role = 'user') > 3")
-def escalate_after_5_turns(spark, d, limit: int = 3):
+def turns_sql(limit: int) -> str:
+    return f"SELECT conv_id, count(*) FILTER (WHERE role = 'user') AS user_turns FROM conversations GROUP BY 1 HAVING count(*) FILTER (WHERE role = 'user') > {limit}"
+
+
+@query("escalate_after_5_turns", turns_sql(5))
+def escalate_after_5_turns(spark, d, limit: int = 5):
     turns = ad.conversations(spark, d).groupBy("conv_id").agg(F.count_if(F.col("role") == "user").alias("user_turns"))
     return turns.where(F.col("user_turns") > limit)
 
 
+@query("escalate_after_3_turns", turns_sql(3))
+def escalate_after_3_turns(spark, d):
+    return escalate_after_5_turns(spark, d, 3)
+
+
 # ---- checkpoints
 
 

@@ -10,9 +10,12 @@ from ..session import scratch_path
 from ..sources.tables import SCHEMAS
 
 
-def read_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The named parquet files of a folder as a stream."""
-    return spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+def read_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """The named table, one file or a folder of files, as a stream; each micro-batch takes up to ``files_per_batch`` files."""
+    reader = spark.readStream.schema(SCHEMAS[name])
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/{name}.parquet*")
 
 
 def drain(stream: DataFrame, name: str) -> DataFrame:
@@ -49,8 +52,13 @@ def user_sessions(stream: DataFrame, gap: str = "6 hours", delay: str = "1 hour"
     return counts.select("user_id", F.col("session_window.start").alias("started"), F.col("session_window.end").alias("ended"), "events")
 
 
-def distinct_requests(stream: DataFrame, key: str = "props", delay: str = "1 hour") -> DataFrame:
-    """Requests whose key was not seen within ``delay``."""
+def distinct_requests(stream: DataFrame, key: str = "props", delay: str | None = None) -> DataFrame:
+    """Requests whose key was not seen before; with ``delay``, not within that time, and the state forgets older keys.
+
+    Without ``delay`` the result is the same for any split into micro-batches, and the state grows with the keys.
+    """
+    if delay is None:
+        return stream.dropDuplicates([key])
     return with_event_time(stream, "ts", delay).dropDuplicatesWithinWatermark([key])
 
 
