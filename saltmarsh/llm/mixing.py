@@ -76,6 +76,7 @@ def thresholds(rows: DataFrame, weights: tuple = WEIGHTS, most: int = 3) -> Data
         upto = W.partitionBy("s").orderBy(bucket).rowsBetween(W.unboundedPreceding, 0)
         hist = hist.join(open_, keys).withColumn("end", F.sum("words").over(upto))
         edge = hist.where("end > left AND end - words <= left").select(*keys, bucket, "words", (F.col("left") - (F.col("end") - F.col("words"))).alias("left"))
+        edge = cut_lineage(edge)  # a row per source
         keys = [*keys, bucket]
         open_ = edge.select(*keys, "left")
         if level < len(LEVELS) - 1:
@@ -84,7 +85,8 @@ def thresholds(rows: DataFrame, weights: tuple = WEIGHTS, most: int = 3) -> Data
     for level, width in enumerate(LEVELS):
         value = value * F.lit(1 << width) + F.col(f"b{level}")
     edge = edge.select("s", value.alias("edge"), F.col("left").alias("edge_left"), F.col("words").alias("edge_words"))
-    return sources.join(edge, "s", "left").select("s", "source_size", "target", "copies", "edge", "edge_left", "edge_words")
+    plan = sources.join(edge, "s", "left").select("s", "source_size", "target", "copies", "edge", "edge_left", "edge_words")
+    return cut_lineage(plan)  # its size is known then: a small one is broadcast, and documents stay where they are
 
 
 def _taken(size: str, h: str) -> Column:
