@@ -17,7 +17,7 @@ from saltmarsh.session import scratch_path
 BLOCK = 512  # ids between two checkpoints
 MOST_BITS = 18  # longest code; the decoding table has 2 ** MOST_BITS entries
 MEMO = 1 << 21  # places of the memo of encoded pieces
-PIECE = 3 << 20  # bytes of text encoded at once, if a single text is not longer
+PIECE = 1 << 20  # bytes of text encoded, and ids packed or read, at once, if a single text is not longer
 END = 0  # id appended to each document
 
 
@@ -275,7 +275,7 @@ def _pack(kind: str, lengths: np.ndarray):
             a = 0
             while a < len(ids):
                 b, n = a, 0
-                while b < len(ids) and (b == a or n + len(ids[b]) <= 1 << 22):
+                while b < len(ids) and (b == a or n + len(ids[b]) <= PIECE):
                     n += len(ids[b])
                     b += 1
                 place = np.append(0, np.cumsum([len(x) for x in ids[a:b]]))
@@ -308,7 +308,7 @@ def _read(lengths: np.ndarray):
             size = np.append(0, np.cumsum(batch.column(2).to_numpy()))
             a = 0
             while a < len(batch):
-                b = max(a + 1, int(np.searchsorted(size, size[a] + (1 << 22), side="right")) - 1)
+                b = max(a + 1, int(np.searchsorted(size, size[a] + PIECE, side="right")) - 1)
                 part = batch.slice(a, b - a)
                 counts = part.column(2).to_numpy()
                 ids, place = unpack([x.as_buffer().to_pybytes() for x in part.column(3)], [np.array(x, np.int64) for x in part.column(4).to_pylist()], counts, table)
