@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import decontaminate, fingerprints, html_text, licenses, mixing, near_dups, quality, token_counts, tokens, urls
+from saltmarsh.llm import decontaminate, fingerprints, html_text, licenses, mixing, near_dups, quality, token_counts, tokens, urls, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +130,21 @@ def op10_license_scan(spark, sf_dir):
     at = F.when(F.col("doc_id") == F.col("f2"), F.concat_ws("/", "s", "l", F.lit("LICENSE"))).when(F.col("doc_id") == F.col("f3"), F.concat_ws("/", "s", "l", "k", F.lit("LICENSE")))
     files = docs.join(F.broadcast(heads) if heads.count() <= 500_000 else heads, ["s", "l", "k"], "left")
     return licenses.scan_licenses(files.withColumn("path", F.coalesce(at, F.concat_ws("/", "s", "l", "k", "doc_id"))))
+
+
+@query
+def op11_warc(spark, sf_dir):
+    return warc.page_records(read(spark, sf_dir, "pages"))
+
+
+ORACLE["op11_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), d AS (
+  SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest, max(page_id) OVER (PARTITION BY body) AS kept FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to
+FROM d
+"""
