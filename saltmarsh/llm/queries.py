@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import decontaminate, fingerprints, html_text, licenses, mixing, near_dups, quality, token_counts, tokens, urls, warc
+from saltmarsh.llm import decontaminate, fingerprints, html_text, licenses, mixing, near_dups, negatives, quality, token_counts, tokens, urls, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -148,3 +148,30 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to
 FROM d
 """
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Every seventh vector is labelled as the next class; every hundredth is an anchor."""
+    rows = negatives.usable_rows(read(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id AS other_id, a.label = e.label AS same, list_inner_product(a.v, e.v)::BIGINT AS score
+  FROM e AS a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), n AS (
+  SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
