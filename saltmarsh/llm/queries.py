@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saltmarsh.llm import decontaminate, fingerprints, html_text, licenses, mixing, near_dups, negatives, quality, token_counts, tokens, urls, warc
+from saltmarsh.llm import decontaminate, fingerprints, html_text, licenses, mixing, near_dups, negatives, quality, token_counts, tokens, trie, urls, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -175,3 +175,47 @@ WITH e AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), s AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS first,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 9 AS h
+  FROM t GROUP BY conv_id
+), c AS (
+  SELECT s.conv_id, s.first, s.h, least(s.h, coalesce(f.n, 0)) AS held FROM s LEFT JOIN s AS f ON f.conv_id = s.first
+), r AS (
+  SELECT c.conv_id, t.pos AS p, t.role, t.text FROM c JOIN t ON t.conv_id = c.first AND t.pos < c.h
+  UNION ALL SELECT c.conv_id, t.pos - c.h + c.held, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h
+), k AS (
+  SELECT conv_id, p + 1 AS depth, text,
+         sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY p)) AS node
+  FROM r UNION ALL SELECT conv_id, 0, '', '' FROM c
+), n AS (
+  SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(octet_length(encode(text))) AS own FROM k GROUP BY depth, node
+), b AS (
+  SELECT n.depth, n.node, u.node AS above, n.own FROM n LEFT JOIN k AS u ON u.conv_id = n.conv_id AND u.depth = n.depth - 1
+), ch AS (
+  SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM b WHERE depth > 0 GROUP BY ALL
+), sub AS (
+  SELECT k.depth, k.node, sum(n.own) AS saved, count(*) FILTER (ch.node IS NULL) AS n_leaves
+  FROM n JOIN k ON k.conv_id = n.conv_id AND k.depth <= n.depth LEFT JOIN ch ON ch.depth = n.depth AND ch.node = n.node GROUP BY k.depth, k.node
+), e AS (
+  SELECT depth, node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM k
+  WHERE depth = (SELECT max(m.depth) FROM k AS m WHERE m.conv_id = k.conv_id) GROUP BY depth, node
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n_children, 0) AS n_children, sub.n_leaves,
+       sub.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n JOIN b ON b.depth = n.depth AND b.node = n.node JOIN sub ON sub.depth = n.depth AND sub.node = n.node
+LEFT JOIN n AS u ON u.depth = n.depth - 1 AND u.node = b.above LEFT JOIN ch ON ch.depth = n.depth AND ch.node = n.node LEFT JOIN e ON e.depth = n.depth AND e.node = n.node
+"""

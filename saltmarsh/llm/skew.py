@@ -69,10 +69,12 @@ def _run(names: list[str], key: str, values: list[str]):
     return run
 
 
-def _wrapped(a, b):
-    """a + b modulo 2^64 as a long."""
-    wide = a.cast("decimal(38,0)") + b.cast("decimal(38,0)") + F.lit(Decimal(2**63))
-    return (F.pmod(wide, F.lit(Decimal(2**64))) - F.lit(Decimal(2**63))).cast("long")
+def wrapped(a, b, minus: bool = False):
+    """a + b, or a - b, modulo 2^64 as a long."""
+    x, y = a.cast("decimal(38,0)"), b.cast("decimal(38,0)")
+    wide = (x - y if minus else x + y) + F.lit(Decimal(2**63))
+    slow = (F.pmod(wide, F.lit(Decimal(2**64))) - F.lit(Decimal(2**63))).cast("long")
+    return F.coalesce(F.try_subtract(a, b) if minus else F.try_add(a, b), slow)
 
 
 def running_sums(rows: DataFrame, key: str, order: list, values: list[str]) -> DataFrame:
@@ -103,5 +105,5 @@ def running_sums(rows: DataFrame, key: str, order: list, values: list[str]) -> D
         carried.append((b[0], b[1], *[(x + 2**63) % 2**64 - 2**63 for x in now]))
     offsets = rows.sparkSession.createDataFrame(carried, f"pid int, `{key}` long, {', '.join(f'add_{v} long' for v in values)}")
     met = done.join(F.broadcast(offsets), ["pid", key], "left")
-    out = [F.when(F.col(f"add_{v}").isNull(), F.col(f"sum_{v}")).otherwise(_wrapped(F.col(f"sum_{v}"), F.col(f"add_{v}"))).alias(f"sum_{v}") for v in values]
+    out = [F.when(F.col(f"add_{v}").isNull(), F.col(f"sum_{v}")).otherwise(wrapped(F.col(f"sum_{v}"), F.col(f"add_{v}"))).alias(f"sum_{v}") for v in values]
     return met.select(*names, *out)
