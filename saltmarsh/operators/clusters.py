@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.ml.clustering import BisectingKMeans, KMeans
@@ -18,8 +17,6 @@ from .models import SEED, held
 from .stats import standard_scale
 from .windows import cumulative_share
 
-SPLIT = 8  # parts per side when a box is refined
-
 
 def scaled_vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     rows = standard_scale(df, columns)
@@ -78,107 +75,7 @@ def kmeans_by_group(df: DataFrame, group: str, columns: list[str], k: int, round
     return assign(rows, centres).drop(*[f"_{c}" for c in columns])
 
 
-# ---- density clusters
-
-
-def _cells(columns: list[str], side: float) -> list[Column]:
-    return [F.floor(F.col(c) / side).cast("bigint") for c in columns]
-
-
-def _near_cells(d: int, half: bool) -> list[tuple[int, ...]]:
-    """Cell offsets whose boxes can hold points within eps; one of each opposite pair with ``half``."""
-    reach = math.ceil(math.sqrt(d))
-    out: list[tuple[int, ...]] = [()]
-    for _ in range(d):
-        out = [o + (i,) for o in out for i in range(-reach, reach + 1)]
-    # boxes have side eps / sqrt(d); keep those whose nearest corners are within eps
-    out = [o for o in out if sum(max(abs(i) - 1, 0) ** 2 for i in o) <= d]
-    return [o for o in out if o > (0,) * d] if half else out
-
-
-def _shift(cell: str, offsets: list[tuple[int, ...]], d: int) -> Column:
-    one = [F.array(*[F.col(cell)[i] + o[i] for i in range(d)]) for o in offsets]
-    return F.explode(F.array(*one))
-
-
-def _distance2(a: list[Column], b: list[Column]) -> Column:
-    return reduce(lambda x, y: x + y, [(p - q) * (p - q) for p, q in zip(a, b)])
-
-
-def density_clusters(df: DataFrame, id_col: str, columns: list[str], eps: float, min_points: int) -> DataFrame:
-    """DBSCAN labels: the smallest core id of the cluster, -1 for noise; for two or three columns.
-
-    Points fall into cells so small that a cell's points are all neighbours. A cell with
-    ``min_points`` is core as a whole; only points of thinner cells, at most ``min_points - 1``
-    to a cell, are compared with the points around them. Two cells are linked through
-    bounding boxes that are refined only where they cannot decide, so full cells are never
-    compared point by point. Border points take the smallest label near them.
-    """
-    d = len(columns)
-    if d > 3:
-        raise ValueError("density_clusters takes at most three columns")
-    side = eps / math.sqrt(d)
-    points = df.select(F.col(id_col).cast("bigint").alias("id"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    xs = [f"x{i}" for i in range(d)]
-    points = cut_lineage(points.withColumn("cell", F.array(*_cells(xs, side))))
-    full = points.groupBy("cell").agg(F.count("*").alias("n"))
-    counted = points.join(full, "cell")
-    thin = counted.where(F.col("n") < min_points).select("id", "cell", *xs)
-
-    def beside(rows: DataFrame, others: DataFrame) -> DataFrame:
-        """Pairs of a thin-cell point and another point within eps."""
-        asked = rows.select(F.col("id").alias("pid"), *[F.col(x).alias(f"p{x}") for x in xs], _shift("cell", _near_cells(d, False), d).alias("cell"))
-        close = _distance2([F.col(f"p{x}") for x in xs], [F.col(x) for x in xs]) <= eps * eps
-        return asked.join(others, "cell").where(close)
-
-    reached = beside(thin, points).groupBy(F.col("pid").alias("id")).agg(F.count("*").alias("m")).where(F.col("m") >= min_points).select("id")
-    core = counted.where(F.col("n") >= min_points).select("id", "cell", *xs).unionByName(thin.join(reached, "id", "left_semi"))
-    core = cut_lineage(core)
-    links = _cell_links(core, xs, side, eps)
-    groups = connected_groups(core.select(F.col("cell").alias("node")).distinct(), links)
-    labels = core.join(groups.withColumnRenamed("node", "cell"), "cell")
-    names = labels.groupBy("group").agg(F.min("id").alias("cluster"))
-    labelled = cut_lineage(labels.join(names, "group").select("id", "cell", *xs, "cluster"))
-    loose = thin.join(labelled.select("id"), "id", "left_anti")
-    border = beside(loose, labelled).groupBy(F.col("pid").alias("id")).agg(F.min("cluster").alias("cluster"))
-    found = labelled.select("id", "cluster", F.lit(True).alias("is_core")).unionByName(border.select("id", "cluster", F.lit(False).alias("is_core")))
-    out = points.select("id").join(found, "id", "left")
-    return out.select(F.col("id").alias(id_col), F.coalesce("cluster", F.lit(-1)).cast("bigint").alias("cluster"), F.coalesce("is_core", F.lit(False)).alias("is_core"))
-
-
-def _boxes(core: DataFrame, xs: list[str], side: float, level: int) -> DataFrame:
-    """Bounding box of the core points in every part of the grid at ``level``, with its parent part."""
-    part = F.array(*_cells(xs, side / SPLIT**level))
-    parent = F.array(*_cells(xs, side / SPLIT ** (level - 1)))
-    return core.select("cell", part.alias("part"), parent.alias("parent"), *xs).groupBy("cell", "part").agg(
-        F.min("parent").alias("parent"), *[F.min(x).alias(f"lo_{x}") for x in xs], *[F.max(x).alias(f"hi_{x}") for x in xs]
-    )
-
-
-def _cell_links(core: DataFrame, xs: list[str], side: float, eps: float) -> DataFrame:
-    """Neighbouring cells with core points within eps of each other."""
-    d, zero = len(xs), F.lit(0.0)
-    cells = core.select("cell").distinct()
-    pairs = cells.select(F.col("cell").alias("a"), _shift("cell", _near_cells(d, True), d).alias("cell")).join(cells, "cell")
-    open_parts = cut_lineage(pairs.select("a", F.col("cell").alias("b"), F.col("a").alias("pa"), F.col("cell").alias("pb")))
-    sure, level = [], 0
-    while not open_parts.isEmpty():
-        level += 1
-        boxes = _boxes(core, xs, side, level)
-
-        def side_of(s, boxes=boxes):
-            return boxes.select(F.col("cell").alias(s), F.col("parent").alias(f"p{s}"), F.col("part").alias(f"q{s}"), *[F.col(f"{e}_{x}").alias(f"{s}_{e}_{x}") for e in ("lo", "hi") for x in xs])
-
-        joined = open_parts.join(side_of("a"), ["a", "pa"]).join(side_of("b"), ["b", "pb"])
-        far = reduce(lambda p, q: p + q, [F.pow(F.greatest(F.col(f"a_hi_{x}") - F.col(f"b_lo_{x}"), F.col(f"b_hi_{x}") - F.col(f"a_lo_{x}")), 2) for x in xs])
-        near = reduce(lambda p, q: p + q, [F.pow(F.greatest(F.col(f"a_lo_{x}") - F.col(f"b_hi_{x}"), F.col(f"b_lo_{x}") - F.col(f"a_hi_{x}"), zero), 2) for x in xs])
-        judged = cut_lineage(joined.withColumn("far", far).withColumn("near", near).where(F.col("near") <= eps * eps).select("a", "b", "qa", "qb", "far"))
-        done = judged.where(F.col("far") <= eps * eps).select("a", "b").distinct()
-        sure.append(done)
-        open_parts = judged.where(F.col("far") > eps * eps).join(done, ["a", "b"], "left_anti").select("a", "b", F.col("qa").alias("pa"), F.col("qb").alias("pb"))
-    if not sure:
-        return pairs.select("a", F.col("cell").alias("b")).limit(0)
-    return reduce(lambda x, y: x.unionByName(y), sure)
+# ---- connected groups
 
 
 def connected_groups(nodes: DataFrame, links: DataFrame) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clusters as cl
+from ..operators import density as dn
 from ..operators import models as ml
 from ..operators.stats import roc_auc
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
+from .oracle import with_
 from .registry import query, rnd
-from .tables import profile
+from .tables import stored_profile
 
 CLUSTER_COLUMNS = ["tenure_days", "mrr", "total_usage", "feature_count", "total_events", "usage_per_day", "events_per_day"]
 
@@ -20,7 +22,7 @@ def report(out):
 
 @query("logistic_regression")
 def logistic_regression(spark, d):
-    frame, _ = ml.feature_frame(profile(spark, d))
+    frame, _ = ml.feature_frame(stored_profile(spark, d))
     return report(ml.classifier_report("logistic", frame, ml.fit_on_train(frame, ml.logistic())))
 
 
@@ -28,7 +30,7 @@ def logistic_regression(spark, d):
 def decision_tree_cls(spark, d):
     from pyspark.ml.classification import DecisionTreeClassifier
 
-    frame, names = ml.feature_frame(profile(spark, d))
+    frame, names = ml.feature_frame(stored_profile(spark, d))
     tree = ml.fit_on_train(frame, DecisionTreeClassifier(maxDepth=5, seed=ml.SEED))
     out = ml.importances(frame, names, tree.featureImportances.toArray())
     return report(out.withColumn("nodes", F.lit(tree.numNodes)).withColumn("depth", F.lit(tree.depth)))
@@ -36,58 +38,58 @@ def decision_tree_cls(spark, d):
 
 @query("random_forest_cls")
 def random_forest_cls(spark, d):
-    frame, names = ml.feature_frame(profile(spark, d))
+    frame, names = ml.feature_frame(stored_profile(spark, d))
     return report(ml.importances(frame, names, ml.fit_on_train(frame, ml.forest(100, 5)).featureImportances.toArray()))
 
 
 @query("gbt_cls")
 def gbt_cls(spark, d):
-    frame, names = ml.feature_frame(profile(spark, d))
+    frame, names = ml.feature_frame(stored_profile(spark, d))
     return report(ml.importances(frame, names, ml.fit_on_train(frame, ml.boosted()).featureImportances.toArray()))
 
 
 @query("voting_soft")
 def voting_soft(spark, d):
-    frame, _ = ml.feature_frame(profile(spark, d))
+    frame, _ = ml.feature_frame(stored_profile(spark, d))
     models = [ml.fit_on_train(frame, e) for e in (ml.logistic(), ml.forest(30, 5), ml.boosted(10))]
     return report(ml.soft_vote(frame, models).select("user_id", "churned", "p0", "p1", "p2", "p"))
 
 
 @query("stacking_2level")
 def stacking_2level(spark, d):
-    frame, _ = ml.feature_frame(profile(spark, d), folds=3)
+    frame, _ = ml.feature_frame(stored_profile(spark, d), folds=3)
     scored = ml.stacked(frame, [ml.logistic(), ml.forest(20, 5)], 3)
     return report(roc_auc(scored, "churned", "p").select(F.lit("stacked").alias("model"), "n", "auc"))
 
 
 @query("mlp_cls")
 def mlp_cls(spark, d):
-    frame, names = ml.feature_frame(profile(spark, d))
+    frame, names = ml.feature_frame(stored_profile(spark, d))
     return report(ml.classifier_report("mlp", frame, ml.fit_on_train(frame, ml.network(len(names)))))
 
 
 @query("linear_regression")
 def linear_regression(spark, d):
-    frame, names = ml.regression_frame(profile(spark, d))
+    frame, names = ml.regression_frame(stored_profile(spark, d))
     return report(ml.importances(frame, names, ml.fit_on_train(frame, ml.linear()).coefficients))
 
 
 @query("ridge_regression")
 def ridge_regression(spark, d):
-    frame, names = ml.regression_frame(profile(spark, d))
+    frame, names = ml.regression_frame(stored_profile(spark, d))
     penal = ml.ridge(1.0, frame.where("split = 'train'"))
     return report(ml.importances(frame, names, ml.fit_on_train(frame, penal).coefficients))
 
 
 @query("random_forest_reg")
 def random_forest_reg(spark, d):
-    frame, names = ml.regression_frame(profile(spark, d))
+    frame, names = ml.regression_frame(stored_profile(spark, d))
     return report(ml.importances(frame, names, ml.fit_on_train(frame, ml.forest_regressor()).featureImportances.toArray()))
 
 
 @query("model_compare")
 def model_compare(spark, d):
-    frame, _ = ml.regression_frame(profile(spark, d))
+    frame, _ = ml.regression_frame(stored_profile(spark, d))
     fits = {"linear": ml.linear(), "ridge": ml.ridge(1.0, frame.where("split = 'train'")), "forest": ml.forest_regressor(30, 8)}
     out = None
     for name, e in fits.items():
@@ -99,12 +101,12 @@ def model_compare(spark, d):
 
 @query("grid_search")
 def grid_search(spark, d):
-    frame, _ = ml.feature_frame(profile(spark, d), folds=3)
+    frame, _ = ml.feature_frame(stored_profile(spark, d), folds=3)
     return report(ml.tune_boosting(frame, [0.05, 0.1], [3, 6], 3))
 
 
 def churn_scores(spark, d):
-    frame, _ = ml.feature_frame(profile(spark, d))
+    frame, _ = ml.feature_frame(stored_profile(spark, d))
     model = ml.fit_on_train(frame, ml.logistic())
     return ml.bands(model.transform(frame).withColumn("p", ml.probability()))
 
@@ -121,7 +123,7 @@ def intervention_value(spark, d):
 
 @query("sink_model")
 def sink_model(spark, d):
-    frame, names = ml.feature_frame(profile(spark, d))
+    frame, names = ml.feature_frame(stored_profile(spark, d))
     model = ml.fit_on_train(frame, ml.logistic())
     auc = ml.classifier_report("logistic", frame, model).first()["auc"]
     out = ml.save_versioned(model, scratch_path(spark, "model"), "1", names, {"auc": auc}, spark)
@@ -132,7 +134,7 @@ def sink_model(spark, d):
 
 
 def vectors(spark, d, columns=CLUSTER_COLUMNS):
-    return cl.scaled_vectors(profile(spark, d), columns)
+    return cl.scaled_vectors(stored_profile(spark, d), columns)
 
 
 @query("kmeans")
@@ -146,13 +148,31 @@ def k_selection(spark, d):
     return report(cl.k_selection(vectors(spark, d), range(2, 11)))
 
 
-DENSITY_COLUMNS = ["mrr_z", "usage_per_day_z"]
+EPS, LEAST_NEAR = 0.5, 10
+DENSITY_SQL = (
+    with_("profile").replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", z AS (SELECT user_id, "
+    + ", ".join(f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0) AS z{i}" for i, c in enumerate(CLUSTER_COLUMNS))
+    + " FROM profile), near AS (SELECT a.user_id AS a, b.user_id AS b FROM z a JOIN z b ON "
+    + " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(CLUSTER_COLUMNS)))
+    + f" <= {EPS * EPS}), core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {LEAST_NEAR}),\n"
+    + """link AS MATERIALIZED (SELECT a, b FROM near SEMI JOIN core ON a = id WHERE b IN (SELECT id FROM core)),
+step AS (SELECT 0 AS turn, id, id AS label FROM core
+  UNION ALL SELECT turn + 1, a, min(label) FROM step JOIN link ON b = id WHERE turn < 40 GROUP BY turn, a),
+named AS MATERIALIZED (SELECT id, label FROM step WHERE turn = 40),
+border AS (SELECT a, min(label) AS label FROM near JOIN named ON b = id WHERE a NOT IN (SELECT id FROM core) GROUP BY a)
+SELECT user_id, coalesce(named.label, border.label, -1) AS cluster, named.id IS NOT NULL AS is_core
+FROM z LEFT JOIN named ON user_id = named.id LEFT JOIN border ON user_id = a"""
+)
 
 
-@query("dbscan")
+def density(rows):
+    return dn.density_clusters(rows, "user_id", [f"{c}_z" for c in CLUSTER_COLUMNS], EPS, LEAST_NEAR)
+
+
+@query("dbscan", DENSITY_SQL)
 def dbscan(spark, d):
-    rows = vectors(spark, d, ["mrr", "usage_per_day"])
-    return cl.density_clusters(rows, "user_id", DENSITY_COLUMNS, 0.5, 10)
+    return density(vectors(spark, d))
 
 
 @query("hierarchical_clusters")
@@ -163,16 +183,16 @@ def hierarchical_clusters(spark, d):
 
 @query("cluster_compare")
 def cluster_compare(spark, d):
-    rows = vectors(spark, d, ["mrr", "usage_per_day"]).select("user_id", "features", *DENSITY_COLUMNS)
-    with ml.held(rows) as x:
-        scores = {"kmeans": cl.silhouette(cl.best_kmeans(x, 4, 1).transform(x)), "hierarchical": cl.silhouette(cl.bisecting(x, 4).transform(x))}
-        dense = cl.density_clusters(x, "user_id", DENSITY_COLUMNS, 0.5, 10).where("cluster <> -1")
+    x = vectors(spark, d)
+    with ml.held(x.select("user_id", "features")) as x_held:
+        scores = {"kmeans": cl.silhouette(cl.best_kmeans(x_held, 4, 1).transform(x_held)), "hierarchical": cl.silhouette(cl.bisecting(x_held, 4).transform(x_held))}
+        dense = cut_lineage(density(x).where("cluster <> -1"))
         ids = dense.groupBy("cluster").agg(F.count("*").alias("n"))
         # the evaluator wants small label numbers
         from pyspark.ml.feature import StringIndexer
 
         named = StringIndexer(inputCol="cluster", outputCol="prediction", stringOrderType="alphabetAsc").fit(dense).transform(dense)
-        scores["dbscan"] = cl.silhouette(x.join(named, "user_id")) if ids.count() > 1 else 0.0
+        scores["dbscan"] = cl.silhouette(x_held.join(named, "user_id")) if ids.count() > 1 else 0.0
     return report(spark.createDataFrame([(k, float(v)) for k, v in scores.items()], "algorithm string, silhouette double"))
 
 
@@ -180,7 +200,7 @@ def cluster_compare(spark, d):
 def cluster_feature_sets(spark, d):
     sets = {"engagement": ["total_usage", "feature_count", "total_events", "usage_per_day"], "financial": ["mrr", "tenure_days"], "all": CLUSTER_COLUMNS}
     out = []
-    with ml.held(profile(spark, d)) as p:
+    with ml.held(stored_profile(spark, d)) as p:
         for name, cols in sets.items():
             rows = cl.scaled_vectors(p, cols)
             out.append((name, len(cols), float(cl.silhouette(cl.best_kmeans(rows, 4, 1).transform(rows)))))
@@ -189,7 +209,7 @@ def cluster_feature_sets(spark, d):
 
 @query("cluster_by_cohort")
 def cluster_by_cohort(spark, d):
-    rows = profile(spark, d).withColumn("cohort", F.coalesce(F.trunc("signup_date", "MM").cast("string"), F.lit("none")))
+    rows = stored_profile(spark, d).withColumn("cohort", F.coalesce(F.trunc("signup_date", "MM").cast("string"), F.lit("none")))
     out = cl.kmeans_by_group(rows.select("user_id", "cohort", "mrr", "usage_per_day"), "cohort", ["mrr", "usage_per_day"], 3)
     return out.select("user_id", "cohort", "cluster")
 

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from saltmarsh.operators import aggregates as agg, clusters as cl, models as ml, retrieval as rt, stats as st
+from saltmarsh.operators import aggregates as agg, clusters as cl, density as dn, models as ml, retrieval as rt, stats as st
 from saltmarsh.plans import QUERIES
 from saltmarsh.plans.tables import profile
 
@@ -25,12 +25,12 @@ def brute_density(x, eps, min_points):
     return label
 
 
-@pytest.mark.parametrize("d,eps", [(2, 0.35), (2, 0.6), (3, 0.7)])
-def test_density_clusters_match_brute_force(spark, d, eps):
+@pytest.mark.parametrize("d,eps,part", [(2, 0.35, 4096), (3, 0.7, 60), (7, 1.3, 40)])
+def test_density_clusters_match_brute_force(spark, d, eps, part):
     rng = np.random.default_rng(d)
-    x = np.vstack([rng.normal(0, 0.4, (120, d)), rng.normal(2.2, 0.5, (90, d)), rng.uniform(-4, 5, (60, d)), np.zeros((40, d))])
+    x = np.vstack([rng.normal(0, 0.4, (120, d)), rng.normal(2.2, 0.5, (90, d)), rng.uniform(-4, 5, (60, d)), np.zeros((40, d)), 0.9 * eps + rng.normal(0, eps / 20, (50, d))])
     pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(d)]).assign(id=np.arange(len(x)))
-    out = cl.density_clusters(spark.createDataFrame(pdf), "id", [f"c{i}" for i in range(d)], eps, 6).toPandas().sort_values("id")
+    out = dn.density_clusters(spark.createDataFrame(pdf), "id", [f"c{i}" for i in range(d)], eps, 6, part).toPandas().sort_values("id")
     assert (out["cluster"].to_numpy() == brute_density(x, eps, 6)).all()
 
 

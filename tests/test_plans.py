@@ -6,7 +6,7 @@ from saltmarsh.plans import ORACLE, QUERIES
 from saltmarsh.sources import tables as src
 
 # these keep their numeric kernels in Arrow batches inside tasks
-ARROW = {"cross_sell_pairs", "similarity_search", "retrieval_metrics", "hybrid_search", "chi2_independence", "proportion_ci95"}
+ARROW = {"cross_sell_pairs", "similarity_search", "retrieval_metrics", "hybrid_search", "chi2_independence", "proportion_ci95", "dbscan"}
 # bounded by the number of groups, components or registered queries
 MATERIALISING = ("stream_", "scan_", "sink_", "load_")
 
