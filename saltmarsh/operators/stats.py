@@ -158,14 +158,14 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5) -> Dat
 
 def target_encoding(df: DataFrame, category: str, label: str, key: str, folds: int = 5) -> DataFrame:
     """Mean label per category, and the mean without the row's own fold."""
-    rows = df.withColumn("fold", hash_share(key) % folds)
-    per_fold = rows.groupBy(category, "fold").agg(F.sum(label).alias("s"), F.count("*").alias("n"))
-    whole = per_fold.groupBy(category).agg(F.sum("s").alias("s_all"), F.sum("n").alias("n_all"))
-    codes = null_safe_join(per_fold, whole, [category]).select(
-        category, "fold", (F.col("s_all") / F.col("n_all")).alias("encoded"),
+    rows = df.withColumn("fold", hash_share(key) % folds).withColumn("_k", F.struct(category))  # in a struct NULL equals NULL
+    per_fold = rows.groupBy("_k", "fold").agg(F.sum(label).alias("s"), F.count("*").alias("n"))
+    whole = per_fold.groupBy("_k").agg(F.sum("s").alias("s_all"), F.sum("n").alias("n_all"))
+    codes = per_fold.join(whole, "_k").select(
+        "_k", "fold", (F.col("s_all") / F.col("n_all")).alias("encoded"),
         F.try_divide(F.col("s_all") - F.col("s"), F.col("n_all") - F.col("n")).alias("encoded_oof"),
     )
-    return null_safe_join(rows, codes, [category, "fold"])
+    return rows.join(codes, ["_k", "fold"]).drop("_k")
 
 
 def standard_scale(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:

@@ -6,16 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scale import micros, newest, null_safe_join, previous, quantiles, running
+from ..functions.scale import micros, newest, previous, quantiles, running
 from ..session import cut_lineage
 
 
 def against_group(df: DataFrame, group: str, value: str) -> DataFrame:
     """Ratio to, deviation from and z-score against the group's own mean."""
-    base = df.groupBy(group).agg(F.avg(value).alias("base_mean"), F.stddev_pop(value).alias("base_std"))
+    rows = df.withColumn("_k", F.struct(group))  # in a struct NULL equals NULL
+    base = rows.groupBy("_k").agg(F.avg(value).alias("base_mean"), F.stddev_pop(value).alias("base_std"))
     x = F.col(value)
     return (
-        null_safe_join(df, base, [group])
+        rows.join(base, "_k")
+        .drop("_k")
         .withColumn("ratio", F.try_divide(x, "base_mean"))
         .withColumn("deviation", x - F.col("base_mean"))
         .withColumn("z", F.try_divide(x - F.col("base_mean"), "base_std"))

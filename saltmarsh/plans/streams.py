@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources.tables import table
 from ..streaming import streams as sm
 from .documents import KIND_SQL
 from .registry import query
@@ -18,31 +19,34 @@ def stream_moderation(spark, d):
     return sm.drain(sm.moderation(sm.read_stream(spark, d, "documents")).select("doc_id", "content_type", "decision"), "moderation")
 
 
-@query("stream_event_counts", """WITH w AS (SELECT date_trunc('hour', ts) AS started, event_type, count(*) AS events FROM events GROUP BY 1, 2)
-SELECT strftime(started, '%Y-%m-%d %H:%M') AS started, event_type, events FROM w WHERE started + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+@query("stream_event_counts", """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS started, event_type, count(*) AS events FROM events GROUP BY ALL""")
 def stream_event_counts(spark, d):
-    out = sm.drain(sm.event_counts(sm.read_stream(spark, d, "events")), "counts")
+    out = sm.drain_upserts(sm.event_counts(sm.read_stream(spark, d, "events")), "counts", ["started", "event_type"])
     return out.select(hour("started"), "event_type", "events")
 
 
-@query("stream_event_counts_sliding", """WITH s AS (SELECT ts, event_type, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS started FROM events)
-SELECT strftime(started, '%Y-%m-%d %H:%M') AS started, event_type, count(*) AS events FROM s WHERE started + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2""")
+@query("stream_event_counts_sliding", """WITH s AS (SELECT event_type, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS started FROM events)
+SELECT strftime(started, '%Y-%m-%d %H:%M') AS started, event_type, count(*) AS events FROM s GROUP BY ALL""")
 def stream_event_counts_sliding(spark, d):
-    out = sm.drain(sm.event_counts(sm.read_stream(spark, d, "events"), "2 hours", "1 hour"), "sliding")
+    out = sm.drain_upserts(sm.event_counts(sm.read_stream(spark, d, "events"), "2 hours", "1 hour"), "sliding", ["started", "event_type"])
     return out.select(hour("started"), "event_type", "events")
 
 
 @query("stream_sessions", """WITH l AS (SELECT user_id, event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
 m AS (SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM l)
-SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M') AS started, count(*) AS events FROM m GROUP BY user_id, n HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M') AS started, count(*) AS events FROM m GROUP BY user_id, n""")
 def stream_sessions(spark, d):
-    out = sm.drain(sm.user_sessions(sm.read_stream(spark, d, "events")), "sessions")
-    return out.select("user_id", hour("started"), "events")
+    out = sm.drain_upserts(sm.user_sessions(sm.read_stream(spark, d, "events")), "sessions", ["user_id", "first"])
+    return out.withColumn("started", F.timestamp_millis("first")).select("user_id", hour("started"), "events")
 
 
-@query("stream_sla_breach", """SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'P' AND o_orderdate + INTERVAL 48 HOUR <= (SELECT max(o_orderdate) FROM orders) - INTERVAL 1 DAY""")
+@query("stream_sla_breach", """SELECT o_orderkey AS id, strftime(o_orderdate + INTERVAL 48 HOUR, '%Y-%m-%d %H:%M') AS deadline FROM orders
+WHERE o_orderstatus = 'P' AND o_orderdate + INTERVAL 48 HOUR <= (SELECT max(o_orderdate) FROM orders)""")
 def stream_sla_breach(spark, d):
-    return sm.drain(sm.sla_breaches(sm.read_stream(spark, d, "orders")), "sla").select("id")
+    requests = sm.drain_upserts(sm.request_deadlines(sm.read_stream(spark, d, "orders")), "sla", ["id"])
+    clock = table(spark, d, "orders").select(F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("at"))
+    out = sm.sla_breaches(requests, clock)
+    return out.withColumn("deadline", F.timestamp_millis("deadline")).select("id", hour("deadline"))
 
 
 @query("stream_dedupe", "SELECT DISTINCT props AS message FROM events")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import IntegerType, StructType
 
+from ..functions.scale import newest
 from ..operators.textops import moderate
 from ..session import scratch_path
 from ..sources.tables import SCHEMAS
@@ -15,7 +19,7 @@ def read_stream(spark: SparkSession, folder: str, name: str, files_per_batch: in
     reader = spark.readStream.schema(SCHEMAS[name])
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{folder}/{name}.parquet*")
+    return reader.parquet(f"{folder}/{name}.parque[t]")  # a pattern of one name: the stream source takes no plain file
 
 
 def drain(stream: DataFrame, name: str) -> DataFrame:
@@ -30,6 +34,45 @@ def drain(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
+def upsert_into(stream: DataFrame, path: str) -> None:
+    """Run the stream over all input that is there and keep its rows as versions of the rows of the table at ``path``.
+
+    A micro-batch is one folder of the table, written anew if the batch is run again; the checkpoint lies beside it, so a
+    restart goes on where the last run ended and a repeated run changes nothing.
+    """
+    spark = stream.sparkSession
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/data/batch={number}")
+
+    # A first folder, so that a stream without input has a table too.
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/data/batch=-1")
+    store = "spark.sql.streaming.stateStore.providerClass"
+    held = spark.conf.get(store)
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # state on disk, as timers need it
+    try:
+        query = stream.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(store, held)
+
+
+def read_upserts(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
+    """The last version of every row of an upserted table: by batch, then by ``step`` if there is one. Rows with ``gone`` set are left out."""
+    rows = spark.read.schema(StructType(list(schema.fields)).add("batch", IntegerType())).parquet(f"{path}/data")
+    values = [c for c in rows.columns if c not in (*keys, "batch", "step")]
+    order = F.struct("batch", *[c for c in ("step",) if c in rows.columns])
+    last = newest(rows, keys, order, values)
+    return last.where(~F.col("gone")).drop("gone") if "gone" in values else last
+
+
+def drain_upserts(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """:func:`upsert_into` a table of its own; its rows as they stand at the end, open windows and sessions included."""
+    path = scratch_path(stream.sparkSession, f"upserts-{name}")
+    upsert_into(stream, path)
+    return read_upserts(stream.sparkSession, path, stream.schema, keys)
+
+
 def with_event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
     return stream.withColumn("event_time", F.col(column).cast("timestamp")).withWatermark("event_time", delay)
 
@@ -39,17 +82,65 @@ def moderation(stream: DataFrame) -> DataFrame:
 
 
 def event_counts(stream: DataFrame, size: str = "1 hour", slide: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Events per window and type; rows later than ``delay`` are dropped and a window is written once it is closed."""
+    """Events per window and type; rows later than ``delay`` are dropped. Appended, a window is written once it is closed; upserted, whenever it grows."""
     w = F.window("event_time", size, slide) if slide else F.window("event_time", size)
     counts = with_event_time(stream, "ts", delay).groupBy(w, "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("value"))
     return counts.select(F.col("window.start").alias("started"), F.col("window.end").alias("ended"), "event_type", "events", "value")
 
 
-def user_sessions(stream: DataFrame, gap: str = "6 hours", delay: str = "1 hour") -> DataFrame:
-    """Closed sessions per user."""
-    w = F.session_window("event_time", gap)
-    counts = with_event_time(stream, "ts", delay).groupBy(w, "user_id").agg(F.count("*").alias("events"))
-    return counts.select("user_id", F.col("session_window.start").alias("started"), F.col("session_window.end").alias("ended"), "events")
+class Sessions(StatefulProcessor):
+    """The open sessions of a user as a list of (first, last, events). A row within ``gap`` of sessions joins them into one."""
+
+    def __init__(self, gap: int):
+        self.gap = gap
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", "first bigint, last bigint, events bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        before = sorted(tuple(int(v) for v in r) for r in self.open.get())
+        times = sorted(int(t) for pdf in rows for t in pdf["at"])
+        merged: list[list[int]] = []
+        for first, last, events in sorted(before + [(t, t, 1) for t in times]):
+            if merged and first < merged[-1][1] + self.gap:
+                merged[-1][1] = max(merged[-1][1], last)
+                merged[-1][2] += events
+            else:
+                merged.append([first, last, events])
+        now = [tuple(m) for m in merged]
+        self._keep([s for s in now if s[1] + self.gap > timerValues.getCurrentWatermarkInMs()])
+        starts = {s[0] for s in now}
+        out = [(key[0], *s, False) for s in now if s not in before] + [(key[0], *s, True) for s in before if s[0] not in starts]
+        yield pd.DataFrame(out, columns=["user_id", "first", "last", "events", "gone"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self._keep([s for s in (tuple(int(v) for v in r) for r in self.open.get()) if s[1] + self.gap > expiredTimerInfo.getExpiryTimeInMs()])
+        yield pd.DataFrame({c: [] for c in ("user_id", "first", "last", "events", "gone")})
+
+    def _keep(self, sessions: list) -> None:
+        if not sessions:
+            self.open.clear()
+            return
+        self.open.put(sessions)
+        for s in sessions:
+            self.handle.registerTimer(s[1] + self.gap)
+
+    def close(self) -> None:
+        pass
+
+
+def user_sessions(stream: DataFrame, gap_hours: int = 6, delay: str = "1 hour") -> DataFrame:
+    """Sessions per user, for an upserted table with keys (user_id, first): a row whenever a session begins or grows, and one with
+    ``gone`` set for a session that a late row has joined to an earlier one. ``first`` and ``last`` are milliseconds since 1970.
+
+    The state holds a user's sessions until the event clock has passed their gap; rows without a user or a time are left out.
+    """
+    rows = with_event_time(stream.where("user_id IS NOT NULL AND ts IS NOT NULL"), "ts", delay)
+    rows = rows.select("user_id", "event_time", F.unix_millis("event_time").alias("at"))
+    return rows.groupBy("user_id").transformWithStateInPandas(
+        Sessions(gap_hours * 3_600_000), "user_id bigint, first bigint, last bigint, events bigint, gone boolean", "Update", "EventTime"
+    )
 
 
 def distinct_requests(stream: DataFrame, key: str = "props", delay: str | None = None) -> DataFrame:
@@ -62,13 +153,60 @@ def distinct_requests(stream: DataFrame, key: str = "props", delay: str | None =
     return with_event_time(stream, "ts", delay).dropDuplicatesWithinWatermark([key])
 
 
-def sla_breaches(stream: DataFrame, hours: int = 48, delay: str = "1 day") -> DataFrame:
-    """Open requests whose deadline the event clock has passed.
-
-    A request's rows form a session that ends ``hours`` after the last of them; a closed
-    session without a decision is a breach. The state stays inside the JVM.
+class Deadlines(StatefulProcessor):
+    """A request's deadline, whether it was decided by then, and a timer at the deadline."""
+
+    def __init__(self, allowed: int):
+        self.allowed = allowed
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.request = handle.getValueState("request", "opened bigint, decided bigint, closed boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        opened, decided, closed = (None, None, False) if not self.request.exists() else self.request.get()
+        for pdf in rows:
+            for at, is_decision in zip(pdf["at"], pdf["is_decision"]):
+                at = int(at)
+                opened = at if opened is None else min(opened, at)
+                if is_decision:
+                    decided = at if decided is None else min(decided, at)
+        if closed:  # a breach stands, and so does a decision
+            return
+        deadline = opened + self.allowed
+        self.request.update((opened, decided, False))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(deadline)
+        state = "decided" if decided is not None and decided <= deadline else "open"
+        yield pd.DataFrame([(key[0], deadline, state, 0)], columns=["id", "deadline", "state", "step"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        opened, decided, _ = self.request.get()
+        deadline = opened + self.allowed
+        self.request.update((opened, decided, True))
+        late = decided is None or decided > deadline
+        yield pd.DataFrame([(key[0], deadline, "breached" if late else "decided", 1)], columns=["id", "deadline", "state", "step"])
+
+    def close(self) -> None:
+        pass
+
+
+def request_deadlines(stream: DataFrame, hours: int = 48, delay: str = "1 day") -> DataFrame:
+    """Requests with their deadline, for an upserted table with key id: ``open``, ``decided`` or ``breached``; ``deadline`` in milliseconds since 1970.
+
+    A request opens with its first row; its deadline is ``hours`` later. An event-time timer goes off once the event
+    clock, ``delay`` behind the latest row, has passed the deadline: without a decision by then the request is
+    breached, and a later decision withdraws nothing. Rows without a time are left out.
     """
-    rows = with_event_time(stream, "o_orderdate", delay)
-    decided = F.max((F.col("o_orderstatus") != "P").cast("int")).alias("decided")
-    closed = rows.groupBy(F.session_window("event_time", f"{hours} hours"), F.col("o_orderkey").alias("id")).agg(decided)
-    return closed.where("decided = 0").select("id", F.col("session_window.end").alias("deadline"))
+    rows = with_event_time(stream.where("o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL"), "o_orderdate", delay)
+    rows = rows.select(
+        F.col("o_orderkey").alias("id"), "event_time", F.unix_millis("event_time").alias("at"), F.coalesce(F.col("o_orderstatus") != "P", F.lit(False)).alias("is_decision")
+    )
+    return rows.groupBy("id").transformWithStateInPandas(Deadlines(hours * 3_600_000), "id bigint, deadline bigint, state string, step int", "Update", "EventTime")
+
+
+def sla_breaches(requests: DataFrame, clock: DataFrame) -> DataFrame:
+    """Requests of an upserted table that are breached, or open beyond the latest time (``at``, milliseconds) of ``clock``: a timer is behind that by its delay."""
+    latest = clock.agg(F.max("at").alias("at")).scalar()
+    return requests.where((F.col("state") == "breached") | ((F.col("state") == "open") & (F.col("deadline") <= latest))).select("id", "deadline")

@@ -44,3 +44,17 @@ def test_json_array_file(spark, tmp_path):
     (tmp_path / "f.json").write_text('[{"user_id": 1, "text": "a"}, {"user_id": 2, "text": null}]')
     rows = src.read_json(spark, str(tmp_path / "f.json"), "user_id bigint, text string", array_file=True).collect()
     assert [(r["user_id"], r["text"]) for r in rows] == [(1, "a"), (2, None)]
+
+
+# hash exchanges without broadcasts: NULL-safe keys cost no shuffle of their own
+EXCHANGES = {"history_token_budget": 6, "upgrade_patterns": 6, "checkpoint_history": 4, "region_zscore_anomaly": 2}
+
+
+@pytest.mark.parametrize("key", sorted(EXCHANGES))
+def test_null_safe_keys_add_no_shuffle(key, spark, small):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan_of(QUERIES[key](spark, small)).count("Exchange hashpartitioning") == EXCHANGES[key]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)

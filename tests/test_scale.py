@@ -16,24 +16,23 @@ def skewed(spark):
     return pdf, spark.createDataFrame(pdf.sample(frac=1, random_state=1)).repartition(6).cache()
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 100])
-def test_quantiles_match_numpy(skewed, accuracy):
+@pytest.mark.parametrize("buckets", [1 << 16, 5])
+def test_quantiles_match_numpy(skewed, buckets):
     pdf, df = skewed
     probs = {"a": 0.05, "b": 0.5, "c": 0.9, "d": 0.99}
-    row = sc.quantiles(df, "v", probs, accuracy=accuracy).first()
+    row = sc.quantiles(df, "v", probs, buckets=buckets).first()
     for n, p in probs.items():
         assert row[n] == pytest.approx(np.quantile(pdf.v, p), abs=1e-9)
-    for r in sc.quantiles(df, "v", probs, ["k"], accuracy).collect():
+    for r in sc.quantiles(df, "v", probs, ["k"], buckets=buckets).collect():
         v = pdf[pdf.k == r["k"]].v
         assert r["n"] == len(v)
         for n, p in probs.items():
             assert r[n] == pytest.approx(np.quantile(v, p), abs=1e-9)
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 100])
-def test_index_quantile(skewed, accuracy):
+def test_index_quantile(skewed):
     pdf, df = skewed
-    got = sc.quantiles(df, "v", {"q": 0.95}, accuracy=accuracy, index=True).first()["q"]
+    got = sc.quantiles(df, "v", {"q": 0.95}, index=True).first()["q"]
     assert got == sorted(pdf.v)[int(len(pdf) * 0.95)]
 
 
@@ -44,6 +43,24 @@ def test_tiny_groups(spark, values):
     assert row["q1"] == pytest.approx(np.quantile(values, 0.25)) and row["q9"] == pytest.approx(np.quantile(values, 0.9))
 
 
+def test_quantiles_of_every_size_and_null_keys(spark):
+    rng = np.random.default_rng(11)
+    v = np.concatenate([rng.normal(0, 1, 300) * 10.0 ** rng.integers(-300, 300, 300), [0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf], np.full(50, 7.5), 1 + rng.random(200) * 1e-15])
+    key = [None if i % 3 == 0 else int(i % 3) for i in range(len(v))]
+    df = spark.createDataFrame(list(zip(key, ["x"] * len(v), v.tolist())) + [(None, "x", None), (9, "x", None)], "k int, j string, v double").repartition(3)
+    probs = {f"p{i}": i / 10 for i in range(11)}
+    got = {r["k"]: r for r in sc.quantiles(df, "v", probs, ["k", "j"], index=True).collect()}
+    assert set(got) == {None, 1, 2}
+    for k, r in got.items():
+        mine = sorted(x for x, y in zip(v, key) if y == k)
+        assert [r[n] for n in probs] == [mine[min(int(len(mine) * p), len(mine) - 1)] for p in probs.values()]
+
+
+def test_quantile_plans_order_no_rows(skewed):
+    plan = sc.quantiles(skewed[1], "v", {"a": 0.5}, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+
+
 def test_quantiles_of_nothing(spark):
     assert sc.quantiles(spark.createDataFrame([], "v double"), "v", {"q": 0.5}).first()["q"] is None
 
