@@ -123,8 +123,7 @@ class Sessions(StatefulProcessor):
             self.open.clear()
             return
         self.open.put(sessions)
-        for s in sessions:
-            self.handle.registerTimer(s[1] + self.gap)
+        self.handle.registerTimer(max(s[1] for s in sessions) + self.gap)  # older ones go with the next row or this timer
 
     def close(self) -> None:
         pass
@@ -154,39 +153,45 @@ def distinct_requests(stream: DataFrame, key: str = "props", delay: str | None =
 
 
 class Deadlines(StatefulProcessor):
-    """A request's deadline, whether it was decided by then, and a timer at the deadline."""
+    """When a request was opened and decided, and its one timer: at the deadline or, before it was opened, at the decision."""
 
     def __init__(self, allowed: int):
         self.allowed = allowed
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.request = handle.getValueState("request", "opened bigint, decided bigint, closed boolean")
+        self.request = handle.getValueState("request", "opened bigint, decided bigint, timer bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        opened, decided, closed = (None, None, False) if not self.request.exists() else self.request.get()
+        opened, decided, timer = self.request.get() or (None, None, None)
         for pdf in rows:
-            for at, is_decision in zip(pdf["at"], pdf["is_decision"]):
-                at = int(at)
-                opened = at if opened is None else min(opened, at)
+            for at, is_decision in zip(pdf["at"].tolist(), pdf["is_decision"].tolist()):
                 if is_decision:
                     decided = at if decided is None else min(decided, at)
-        if closed:  # a breach stands, and so does a decision
-            return
-        deadline = opened + self.allowed
-        self.request.update((opened, decided, False))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(deadline)
-        state = "decided" if decided is not None and decided <= deadline else "open"
-        yield pd.DataFrame([(key[0], deadline, state, 0)], columns=["id", "deadline", "state", "step"])
+                else:
+                    opened = at if opened is None else min(opened, at)
+        wanted = decided if opened is None else opened + self.allowed
+        if wanted != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(wanted)
+        self.request.update((opened, decided, wanted))
+        if opened is not None:
+            yield self._row(key, wanted, "open" if self._late(decided, wanted) else "decided", 0)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        opened, decided, _ = self.request.get()
-        deadline = opened + self.allowed
-        self.request.update((opened, decided, True))
-        late = decided is None or decided > deadline
-        yield pd.DataFrame([(key[0], deadline, "breached" if late else "decided", 1)], columns=["id", "deadline", "state", "step"])
+        opened, decided, timer = self.request.get()
+        self.request.clear()
+        if opened is not None:
+            yield self._row(key, timer, "breached" if self._late(decided, timer) else "decided", 1)
+
+    @staticmethod
+    def _late(decided, deadline) -> bool:
+        return decided is None or decided > deadline
+
+    @staticmethod
+    def _row(key, deadline, state, step):
+        return pd.DataFrame([(key[0], deadline, state, step)], columns=["id", "deadline", "state", "step"])
 
     def close(self) -> None:
         pass
@@ -195,9 +200,10 @@ class Deadlines(StatefulProcessor):
 def request_deadlines(stream: DataFrame, hours: int = 48, delay: str = "1 day") -> DataFrame:
     """Requests with their deadline, for an upserted table with key id: ``open``, ``decided`` or ``breached``; ``deadline`` in milliseconds since 1970.
 
-    A request opens with its first row; its deadline is ``hours`` later. An event-time timer goes off once the event
+    A request opens with its first undecided row; its deadline is ``hours`` later. An event-time timer goes off once the event
     clock, ``delay`` behind the latest row, has passed the deadline: without a decision by then the request is
-    breached, and a later decision withdraws nothing. Rows without a time are left out.
+    breached, and a later decision withdraws nothing. The state then forgets the request, as it does a decision
+    whose request is not opened before the clock passes it. Rows without a time are left out.
     """
     rows = with_event_time(stream.where("o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL"), "o_orderdate", delay)
     rows = rows.select(
