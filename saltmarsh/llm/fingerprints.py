@@ -27,13 +27,11 @@ def sketch(shingles: np.ndarray, bins: int = BINS, bits: int = LOW_BITS) -> np.n
     """
     if not len(shingles):
         return None
-    keys = np.sort(mix(shingles * _U(0xD1342543DE82EF95) + _U(1)))
+    keys = mix(shingles * _U(0xD1342543DE82EF95) + _U(1))
     at = (keys >> _U(64 - (bins.bit_length() - 1))).astype(np.int64)
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    least = np.zeros(bins, np.uint64)
-    filled = np.zeros(bins, bool)
-    filled[at[first]] = True
-    least[at[first]] = keys[first]
+    least = np.full(bins, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, at, keys)  # repeated shingles change nothing
+    filled = np.bincount(at, minlength=bins) > 0
     empty, attempt = np.flatnonzero(~filled), 0
     while len(empty):
         attempt += 1
@@ -73,7 +71,7 @@ def edited(text: str, following: str) -> str:
 
 def _sketches(texts: list[str]) -> list:
     array = pa.array(texts, pa.large_string())
-    return [sketch(s) for a, b in groups_of(array) for s in shingle_sets(array[a:b], WIDTH)]
+    return [sketch(s) for a, b in groups_of(array) for s in shingle_sets(array[a:b], WIDTH, distinct=False)]
 
 
 def _rows(batches):

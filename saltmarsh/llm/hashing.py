@@ -1,8 +1,9 @@
 """Word and shingle hashes of whole Arrow batches, computed on the UTF-8 bytes with numpy.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return, with A-Z lower-cased. Every word gets a 64-bit polynomial hash from running
-sums over the bytes, so the cost does not depend on how many words there are.
+carriage return, with A-Z lower-cased. Every word gets a 64-bit hash: the sum of a random value of each byte times a random
+factor of its place in the word, from running sums, so the cost does not depend on how many words there are. Unlike powers of
+one number, independent factors leave no pair of words that collide by their structure.
 """
 
 from __future__ import annotations
@@ -23,13 +24,7 @@ def _tables() -> tuple:
     value[65:91] = value[97:123]
     space = np.zeros(256, bool)
     space[[32, 9, 10, 11, 12, 13]] = True
-    base = 0x9E3779B97F4A7C15
-    n = STEP + 1
-    power = np.full(n, base, dtype=np.uint64)
-    power[0] = 1
-    inverse = np.full(n, pow(base, -1, 1 << 64), dtype=np.uint64)
-    inverse[0] = 1
-    return value, space, np.multiply.accumulate(power), np.multiply.accumulate(inverse)
+    return value, space, rng.integers(0, 2**64, STEP + 1, dtype=np.uint64) | _U(1)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -52,9 +47,19 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def _places(starts: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` bytes its distance from the last of the ascending starts."""
+    step = np.ones(n, np.int32)
+    if len(starts):
+        step[starts[0]] = 0
+        step[: starts[0]] = 0
+        step[starts[1:]] -= np.diff(starts).astype(np.int32)
+    return np.cumsum(step, dtype=np.int32)
+
+
 def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and for each text the place of its first word (one more at the end)."""
-    value, space, power, inverse = _tables()
+    value, space, factor = _tables()
     first = np.zeros(len(raw) + 1, bool)
     first[at] = True
     hashes, starts_at = [], []
@@ -74,8 +79,8 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
         after[:-1] = word[1:]
         stop = np.flatnonzero(word & (~after | first[pos + 1 : end + 1])) + 1
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(np.where(word, value[part], _U(0)) * power[: len(part)], out=sums[1:])
-        hashes.append(mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64)))
+        np.cumsum(value[part] * factor[_places(start, len(part))], out=sums[1:])
+        hashes.append(mix(sums[stop] - sums[start] + (stop - start).astype(np.uint64)))
         starts_at.append(start + pos)
         pos = end
     if not hashes:
@@ -83,8 +88,8 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts_at), at)
 
 
-def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of each text's word shingles.
+def shingle_sets(texts: pa.Array, width: int, distinct: bool = True) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's word shingles; without ``distinct`` those of all of them as they stand.
 
     A text of fewer words has its whole word sequence as one shingle; one without words, none.
     """
@@ -99,7 +104,8 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     out = []
     for a, b in zip(place[:-1].tolist(), place[1:].tolist()):
         if b - a >= width:
-            out.append(np.unique(rolled[a : b - width + 1]))
+            own = rolled[a : b - width + 1]
+            out.append(np.unique(own) if distinct else own)
         elif b > a:
             h = words[a : a + 1].copy()
             for j in range(a + 1, b):
@@ -127,7 +133,7 @@ def _plain() -> np.ndarray:
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of ascending spans of the bytes as they are."""
-    _, _, power, inverse = _tables()
+    _, _, factor = _tables()
     value = _plain()
     out = np.zeros(len(starts), np.uint64)
     a = 0
@@ -138,12 +144,12 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
             h = _U(0)
             for p in range(lo, hi, STEP):
                 part = raw[p : min(p + STEP, hi)]
-                h = mix(np.array([h * _U(0xC2B2AE3D27D4EB4F) + (value[part] * power[: len(part)]).sum(dtype=np.uint64)]))[0]
+                h = mix(np.array([h * _U(0xC2B2AE3D27D4EB4F) + (value[part] * factor[: len(part)]).sum(dtype=np.uint64)]))[0]
             out[a] = h
         else:
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(value[raw[lo:hi]] * power[: hi - lo], out=sums[1:])
             s, e = starts[a:b] - lo, ends[a:b] - lo
-            out[a:b] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
+            sums = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum(value[raw[lo:hi]] * factor[_places(s, hi - lo)], out=sums[1:])
+            out[a:b] = mix(sums[e] - sums[s] + (e - s).astype(np.uint64))
         a = b
     return out

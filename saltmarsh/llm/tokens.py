@@ -95,12 +95,15 @@ class Encoder:
             last[at] = True
             after = np.append(raw, 32)[space + 1]
             bad = ~self.bare[after] | last[space + 1]
+            each = np.arange(n)
+            of_space = np.repeat(each, np.diff(np.searchsorted(space, at)))
             whole[:] = False
-            whole[np.searchsorted(at, space[bad], side="right") - 1] = True
-            inside = ~whole[np.searchsorted(at, space, side="right") - 1]
-            filled = np.flatnonzero(~whole & (at[1:] > at[:-1]))
-            starts = np.unique(np.concatenate([space[inside], at[filled]]))
-            owner = np.searchsorted(at, starts, side="right") - 1
+            whole[of_space[bad]] = True
+            begins = np.zeros(len(raw), bool)
+            begins[space[~whole[of_space]]] = True
+            begins[at[:-1][~whole & (at[1:] > at[:-1])]] = True
+            starts = np.flatnonzero(begins)
+            owner = np.repeat(each, np.diff(np.searchsorted(starts, at)))
             ends = np.minimum(np.append(starts[1:], len(raw)), at[owner + 1]) if len(starts) else starts
             keys = span_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64)
             slots = self._find(keys)

@@ -69,6 +69,25 @@ def test_word_hashes_cut_anywhere(monkeypatch):
     assert want[0] == want[3] and want[1] == want[2] == []
 
 
+def test_structured_words_do_not_collide(spark):
+    """The Thue-Morse word and its mirror collide under any polynomial modulo a power of two."""
+    bits = [bin(k).count("1") % 2 for k in range(2048)]
+    one, two = ("".join(x[b] for b in bits) for x in ("ab", "ba"))
+    raw, at = hashing.text_buffers(pa.array([one, two]))
+    assert len(set(hashing.word_hashes(raw, at)[0].tolist())) == 2
+    assert len(set(hashing.span_hashes(raw, at[:-1], at[1:]).tolist())) == 2
+    frame = spark.createDataFrame([(1, one, "en", "a", 1), (2, two, "en", "a", 1)], DOCS).coalesce(1)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dups.near_duplicates(frame).collect()} == {(1, 1, True), (2, 2, True)}
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    want = [len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) + 1 for t in (one, two)]
+    got = sorted(tokens.token_files(frame, path).collect())
+    assert [r["n_tokens"] for r in got] == want and got[0]["ids_crc32"] != got[1]["ids_crc32"]
+    assert len({r["fingerprint"] for r in fingerprints.fingerprints(frame).collect()}) == 2
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(7, 7), (None, 3), (50, 60), (60, 50)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
