@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,19 @@ WIDTH = 5  # words of a shingle
 _U = np.uint64
 
 
+@lru_cache(2)
+def first_named(bins: int) -> np.ndarray:
+    """For every bin (row) the attempt in which its hashes of (bin, attempt) first name each other bin (column)."""
+    out = np.zeros((bins, bins), np.int32)
+    every, attempt = np.arange(bins), 0
+    while not out.all():
+        attempt += 1
+        source = (mix(every.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(attempt)) & _U(bins - 1)).astype(np.int64)
+        new = out[every, source] == 0
+        out[every[new], source[new]] = attempt
+    return out
+
+
 def sketch(shingles: np.ndarray, bins: int = BINS, bits: int = LOW_BITS) -> np.ndarray | None:
     """Low-order bits of the least hash in each bin; None for an empty set.
 
@@ -32,13 +46,8 @@ def sketch(shingles: np.ndarray, bins: int = BINS, bits: int = LOW_BITS) -> np.n
     least = np.full(bins, np.iinfo(np.uint64).max, np.uint64)
     np.minimum.at(least, at, keys)  # repeated shingles change nothing
     filled = np.bincount(at, minlength=bins) > 0
-    empty, attempt = np.flatnonzero(~filled), 0
-    while len(empty):
-        attempt += 1
-        source = (mix(empty.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(attempt)) & _U(bins - 1)).astype(np.int64)
-        ready = filled[source]
-        least[empty[ready]] = least[source[ready]]
-        empty = empty[~ready]
+    empty, full = np.flatnonzero(~filled), np.flatnonzero(filled)
+    least[empty] = least[full[first_named(bins)[np.ix_(empty, full)].argmin(axis=1)]]
     own = np.arange(bins, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)
     return (mix(least ^ own) & _U((1 << bits) - 1)).astype(np.uint8)
 
