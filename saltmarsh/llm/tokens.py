@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,18 +60,31 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, texts: list[str], sizes: list[int]) -> None:
+        sizes = np.array(sizes, np.int32)
         for a in range(0, len(texts), 4096):
-            for key, size, ids in zip(keys[a : a + 4096].tolist(), sizes[a : a + 4096], self._whole(texts[a : a + 4096])):
-                if self.fill + len(ids) > len(self.pool):
-                    self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), self.type)])
-                self.pool[self.fill : self.fill + len(ids)] = ids
-                at = key & (MEMO - 1)
-                while self.slot[at]:
-                    at = (at + 1) & (MEMO - 1)
-                self.used += 1
-                self.keys[at], self.slot[at] = key, self.used
-                self.start[self.used], self.length[self.used], self.size[self.used] = self.fill, len(ids), size
-                self.fill += len(ids)
+            ids = self._whole(texts[a : a + 4096])
+            length = np.fromiter(map(len, ids), np.int32, len(ids))
+            total = int(length.sum())
+            while self.fill + total > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), self.type)])
+            self.pool[self.fill : self.fill + total] = np.fromiter(chain.from_iterable(ids), self.type, total)
+            number = self.used + 1 + np.arange(len(ids))
+            self.start[number], self.length[number], self.size[number] = self.fill + np.cumsum(length) - length, length, sizes[a : a + 4096]
+            self._insert(keys[a : a + 4096], number.astype(np.int32))
+            self.used += len(ids)
+            self.fill += total
+
+    def _insert(self, keys: np.ndarray, number: np.ndarray) -> None:
+        """Put new keys into the first free places from their own on; of several at one place one stays and the others go on."""
+        at = (keys & np.uint64(MEMO - 1)).astype(np.int64)
+        while len(keys):
+            free = np.flatnonzero(self.slot[at] == 0)
+            place, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[place], self.slot[place] = keys[won], number[won]
+            on = np.ones(len(keys), bool)
+            on[won] = False
+            keys, number, at = keys[on], number[on], (at[on] + 1) & (MEMO - 1)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int32)
