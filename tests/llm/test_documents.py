@@ -388,3 +388,62 @@ def test_licences_of_files_and_folders(spark):
         6: (None, None, None), 7: ("MIT", "MIT", None), 8: (None, None, None), 9: ("Apache-2.0", "Apache-2.0", None), 10: (None, "MIT", "a/b"), 11: (None, None, None),
     }
     assert licenses.scan_licenses(files.limit(0)).count() == 0
+
+
+def plain_licence(text, templates, idf, rest, cosine, close):
+    """Best licence by cosines of all windows, one by one."""
+    def vector(words):
+        return {w: n * idf.get(w, rest) for w, n in Counter(words).items()}
+
+    def product(a, b):
+        return sum(x * b.get(w, 0.0) for w, x in a.items()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    words, found = re.findall("[a-z0-9]+", text.lower()), []
+    for name, template in templates:
+        wanted = re.findall("[a-z0-9]+", template.lower())
+        n = min(len(wanted), len(words))
+        found += [(round(product(vector(words[k : k + n]), vector(wanted)), 9), name, -k, n) for k in range(len(words) - n + 1)] if n else []
+    found = [f for f in found if f[0] >= cosine]
+    if not found:
+        return None, None, False
+    top, name, k, n = max((f for f in found), key=lambda f: (f[0], f[1], f[2]))
+    rivals = [c for c, other, j, m in found if other != name and -j < -k + n and -j + m > -k]
+    return (None, None, True) if rivals and top - max(rivals) < close else (name, top, False)
+
+
+def test_licences_equal_plain_cosines_of_all_windows(spark):
+    templates = (("A", "one two three four five"), ("B", "one two three four six seven"), ("C", "two two nine"), ("C", "nine ten one two three four five six seven eight one two"), ("D", "six six six"))
+    rng = random.Random(11)
+    vocabulary = "one two three four five six seven eight nine ten x y z".split()
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.choice([0, 1, 2, 5, 9, 30, 200]))) for _ in range(150)]
+    texts += [t for _, t in templates] + ["x " + t + "; y" for _, t in templates] + ["one two three four", "SIX six, six " * 40]
+    n = len(texts)
+    own = set(re.findall("[a-z]+", " ".join(t for _, t in templates)))
+    idf = {w: 1 + math.log((1 + n) / (1 + sum(w in re.findall("[a-z]+", t.lower()) for t in texts))) for w in own}
+    for cosine, close in ((0.75, 0.003), (0.4, 0.05)):
+        files = spark.createDataFrame([(k, None, t) for k, t in enumerate(texts)], "doc_id long, path string, text string").repartition(3)
+        got = {r["doc_id"]: (r["own"], r["cosine"], r["contested"]) for r in licenses.scan_licenses(files, templates=templates, cosine=cosine, close=close).collect()}
+        want = {k: plain_licence(t, templates, idf, max(idf.values()), cosine, close) for k, t in enumerate(texts)}
+        assert {k: (a, c) for k, (a, _, c) in got.items()} == {k: (a, c) for k, (a, _, c) in want.items()}
+        assert all(v[1] is None or abs(v[1] - want[k][1]) < 1e-8 for k, v in got.items())
+        assert len({v[0] for v in got.values()}) > 3
+
+
+def test_licence_versions_and_licence_files(spark):
+    gpl2 = next(t for n, t in licenses.TEMPLATES if n == "GPL-2.0" and t.startswith("This program"))
+    mit = max((t for n, t in licenses.TEMPLATES if n == "MIT"), key=len)
+    bsd2, bsd3 = (next(t for n, t in licenses.TEMPLATES if n == name) for name in ("BSD-2-Clause", "BSD-3-Clause"))
+    gnu = "This work is licensed under the GNU %sGeneral Public License, version %s."
+    prose = "plain words that stand before and after the notice of a file " * 30
+    texts = {
+        "GPL-2.0": gpl2.replace("This program", "Frobnicator"), "LGPL-2.1": prose + gnu % ("Lesser ", "2.1") + prose, "LGPL-3.0": gnu % ("Lesser ", "3"), "GPL-3.0": gnu % ("", "3"),
+        "AGPL-3.0": prose + gnu % ("Affero ", "3"), "MIT": "Copyright (c) 2020 Somebody\n\n" + mit.replace('"', "\u201c").replace(". ", ".\n * "), "BSD-2-Clause": prose + bsd2, "BSD-3-Clause": "Copyright\n" + bsd3.lower(),
+        "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0", "CC-BY-4.0": "Licensed under CC BY 4.0",
+    }
+    rows = [(k, f"p{k}/{('LICENSE.md', 'COPYING', 'licence.txt')[k % 3]}", t) for k, t in enumerate(texts.values())]
+    rows += [(100 + k, f"p{k}/src/deep/x.py", "plain") for k in range(len(texts))] + [(200, "p0/LICENSES_OF_OTHERS/x", "plain"), (201, "q/NOLICENSE", bsd3), (202, "q/y", bsd3[:130])]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["own"], r["license"]) for r in licenses.scan_licenses(files).collect()}
+    for k, name in enumerate(texts):
+        assert got[k] == (name, name) and got[100 + k] == (None, name), (name, got[k], got[100 + k])
+    assert got[201] == ("BSD-3-Clause",) * 2 and got[202] == (None, None) and got[200] == (None, "GPL-2.0")
