@@ -138,6 +138,7 @@ class Matcher:
             gain = np.zeros(len(self.idf))
             gain[ids] = n * idf[ids] / np.sqrt(((n * idf[ids]) ** 2).sum()) * idf[ids]
             self.gains.append(gain)
+        self.shares = np.stack([np.where(gain > 0, (gain / self.idf) ** 2, 0.0) for gain in self.gains], axis=1).astype(np.float32)
         return self
 
     def _cosines(self, hashes: np.ndarray, ids: np.ndarray, gain: np.ndarray, n: int) -> np.ndarray:
@@ -163,28 +164,37 @@ class Matcher:
     def best(self, texts: pa.Array) -> list[tuple]:
         """Per text (licence, cosine, contested): all windows as long as a template are held to it.
 
-        The norm of a window is at least that of its words taken as distinct. Windows that pass by this bound, from running
-        sums over the batch, get their cosine.
+        No window's cosine is above the norm of the template's words that the text has at all; this leaves few texts for
+        each template. The norm of a window is at least that of its words taken as distinct. Windows that pass by this
+        bound, from running sums, get their cosine.
         """
         hashes, place = words(texts)
-        ids = self._ids(hashes)
-        here, length = np.arange(len(hashes)), np.diff(place)
-        first, end = np.repeat(place[:-1], length), np.repeat(place[1:], length)
-        square = np.concatenate([[0.0], np.cumsum(self.idf[ids] ** 2)])
+        ids, length = self._ids(hashes), np.diff(place)
+        text_of = np.repeat(np.arange(len(texts)), length)
+        seen = np.zeros((len(texts), len(self.vocabulary) + 1), np.float32)
+        seen[text_of, ids] = 1.0
+        can = seen @ self.shares >= self.cosine**2 - 1e-4
         found: dict[int, list] = {}
-        for name, n, gain in zip(self.names, self.sizes, self.gains):
-            dot = np.concatenate([[0.0], np.cumsum(gain[ids])])
+        for j in np.flatnonzero(can.any(axis=0)).tolist():
+            name, n, gain = self.names[j], self.sizes[j], self.gains[j]
+            keep, members = can[text_of, j], np.flatnonzero(can[:, j])
+            some, own = hashes[keep], ids[keep]
+            starts = np.concatenate([[0], np.cumsum(length[members])])
+            here = np.arange(len(own))
+            first, end = np.repeat(starts[:-1], length[members]), np.repeat(starts[1:], length[members])
+            square = np.concatenate([[0.0], np.cumsum(self.idf[own] ** 2)])
+            dot = np.concatenate([[0.0], np.cumsum(gain[own])])
             stop = np.minimum(here + n, end)
             near = dot[stop] - dot[:-1] >= (self.cosine - 1e-6) * np.sqrt(square[stop] - square[:-1])
             hit = np.flatnonzero(near & ((here + n <= end) | (here == first)))
-            which = np.searchsorted(place, hit, side="right") - 1
+            which = np.searchsorted(starts, hit, side="right") - 1
             for t in np.unique(which).tolist():
-                own = hit[which == t]
-                a, b = int(own[0]), int(stop[own[-1]])
-                cosines = self._cosines(hashes[a:b], ids[a:b], gain, n)
-                at = np.flatnonzero(cosines >= self.cosine)
-                if len(at):
-                    found.setdefault(t, []).append((name, a + at, min(n, b - a), cosines[at]))
+                at = hit[which == t]
+                a, b = int(at[0]), int(stop[at[-1]])
+                cosines = self._cosines(some[a:b], own[a:b], gain, n)
+                good = np.flatnonzero(cosines >= self.cosine)
+                if len(good):
+                    found.setdefault(int(members[t]), []).append((name, a - int(starts[t]) + good, min(n, b - a), cosines[good]))
         out = [(None, None, False)] * len(texts)
         for t, matches in found.items():
             top, name, a, n = max((float(c.max()), name, int(at[c.argmax()]), n) for name, at, n, c in matches)
