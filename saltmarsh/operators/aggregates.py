@@ -114,44 +114,51 @@ def plan_moves(df: DataFrame, user: str, order: list[str], plan: str, block: Col
     )
 
 
+PAIRS_AT_ONCE = 1 << 21
+
+
 def _pair_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch of baskets, count joint occurrences as a product of 0/1 matrices, block by block.
+    """Joint counts of the pairs of sorted baskets, sparsely: the pairs themselves are listed, at most ``PAIRS_AT_ONCE`` at a time.
 
-    The pair of an item with itself carries the item's own count.
+    Item k of a basket of n leads n - 1 - k pairs, so a piece may begin and end inside a basket. Memory hangs on the
+    piece and the batch, not on the number of items.
     """
-    width = 1024
     for pdf in batches:
-        sizes = pdf["basket"].map(len).to_numpy()
-        names, idx = np.unique(np.concatenate([np.asarray(b, dtype=object) for b in pdf["basket"]]).astype(str), return_inverse=True)
-        row = np.repeat(np.arange(len(pdf)), sizes)
-        blocks = []
-        for start in range(0, len(names), width):
-            hit = (idx >= start) & (idx < start + width)
-            x = np.zeros((len(pdf), min(width, len(names) - start)), dtype=np.float32)
-            x[row[hit], idx[hit] - start] = 1.0
-            blocks.append((start, x))
-        for i, (sa, xa) in enumerate(blocks):
-            for sb, xb in blocks[i:]:
-                g = xa.T @ xb
-                a, b = np.nonzero(np.triu(g) if sa == sb else g)
-                if len(a):
-                    yield pd.DataFrame({"a": names[a + sa], "b": names[b + sb], "n": g[a, b].astype("int64")})
-
-
-def joint_use(df: DataFrame, user: str, item: str) -> DataFrame:
-    """Pairs of items used by the same users: count, support and lift.
-
-    A basket holds each item once, so it is no longer than the item catalog. Tasks turn
-    batches of baskets into joint counts and only those counts are shuffled.
+        baskets = pdf["basket"].tolist()
+        names, idx = np.unique(np.concatenate([np.asarray(b, dtype=object) for b in baskets]).astype(str), return_inverse=True)
+        sizes = np.array([len(b) for b in baskets])
+        last = np.repeat(np.cumsum(sizes), sizes)
+        begin = np.concatenate([[0], np.cumsum(last - np.arange(len(idx)) - 1)])  # pairs led by the items before
+        for lo in range(0, int(begin[-1]), PAIRS_AT_ONCE):
+            pair = np.arange(lo, min(lo + PAIRS_AT_ONCE, int(begin[-1])))
+            lead = np.searchsorted(begin, pair, side="right") - 1
+            follow = lead + 1 + pair - begin[lead]
+            code, n = np.unique(idx[lead].astype("int64") * len(names) + idx[follow], return_counts=True)
+            yield pd.DataFrame({"a": names[code // len(names)], "b": names[code % len(names)], "n": n.astype("int64")})
+
+
+def joint_use(df: DataFrame, user: str, item: str, min_support: float = 0.0) -> DataFrame:
+    """Pairs of different items used by the same users, ``a`` before ``b`` in order: count, support and lift.
+
+    A pair is in no more baskets than either item, so items below ``min_support`` (a share of all users) leave
+    before baskets are formed; with 0 every pair that occurs is returned. Then pairs below it leave. Tasks turn batches of
+    baskets into joint counts, and only those counts are shuffled. A basket holds each item once; a NULL item is no item, a
+    NULL user is a user as any other.
     """
-    used = cut_lineage(df.select(user, item).distinct())
-    baskets = used.groupBy(user).agg(F.array_sort(F.collect_list(item)).alias("basket"))
+    rows = cut_lineage(df.select(F.struct(user).alias("_user"), F.col(item).alias("_item")).distinct())
+    users = totals(rows, n=F.countDistinct("_user"))["n"]
+    used = rows.where(F.col("_item").isNotNull())
+    single = cut_lineage(used.groupBy("_item").agg(F.count("*").alias("n")))
+    if min_support > 0:
+        single = single.where(F.col("n") >= users * min_support)
+        used = used.join(single.select("_item"), "_item")
+    baskets = used.groupBy("_user").agg(F.array_sort(F.collect_list("_item")).alias("basket")).where(F.size("basket") > 1)
     counts = baskets.select("basket").mapInPandas(_pair_counts, "a string, b string, n bigint")
-    counts = cut_lineage(counts.groupBy("a", "b").agg(F.sum("n").alias("both")))
-    pairs, single = counts.where(F.col("a") != F.col("b")), counts.where(F.col("a") == F.col("b"))
-    users = totals(used, n=F.countDistinct(user))["n"]
-    out = pairs.join(single.select("a", F.col("both").alias("n_a")), "a")
-    out = out.join(single.select("b", F.col("both").alias("n_b")), "b").withColumn("users", users)
+    pairs = counts.groupBy("a", "b").agg(F.sum("n").alias("both")).withColumn("users", users)
+    if min_support > 0:
+        pairs = pairs.where(F.col("both") >= F.col("users") * min_support)
+    out = pairs.join(single.select(F.col("_item").alias("a"), F.col("n").alias("n_a")), "a")
+    out = out.join(single.select(F.col("_item").alias("b"), F.col("n").alias("n_b")), "b")
     return out.select(
         "a", "b", "both", (F.col("both") / F.col("users")).alias("support"),
         (F.col("both") * F.col("users") / (F.col("n_a") * F.col("n_b"))).alias("lift"),

@@ -53,6 +53,16 @@ def scan_json(spark, d):
     return back.select("feedback_id", "user_id", "category", "sentiment", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@query("scan_json_array", with_("feedback") + "SELECT feedback_id, user_id, category, sentiment, CAST(length(text) AS BIGINT) AS n_chars FROM feedback")
+def scan_json_array(spark, d):
+    """The same rows through files of arrays, a thousand objects to an array."""
+    path = scratch_path(spark, "json-array")
+    rows = ad.feedback(spark, d).select(F.floor(F.col("feedback_id") / 1000).alias("page"), F.to_json(F.struct("feedback_id", "user_id", "category", "sentiment", "text")).alias("o"))
+    rows.groupBy("page").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("o"), ",\n"), F.lit("\n]")).alias("value")).select("value").write.text(path)
+    back = src.read_json_array(spark, path, "feedback_id BIGINT, user_id BIGINT, category STRING, sentiment STRING, text STRING")
+    return back.select("feedback_id", "user_id", "category", "sentiment", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query("scan_sql", "SELECT c_mktsegment AS plan_tier, count(*) AS n, round(avg(c_acctbal), 4) AS avg_balance FROM customer WHERE c_acctbal > 0 GROUP BY 1")
 def scan_sql(spark, d):
     return src.read_sql(

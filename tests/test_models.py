@@ -49,6 +49,26 @@ def test_joint_use_counts(spark):
     names = sorted(pdf.f.unique())
     want = {(a, b): sum(a in s and b in s for s in sets) for i, a in enumerate(names) for b in names[i + 1 :]}
     assert got == {k: v for k, v in want.items() if v}
+    least = 0.3
+    odd = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([(500, None), (0, None)], "u bigint, f string"))
+    got = {(r["a"], r["b"]): (r["both"], round(r["lift"], 9)) for r in agg.joint_use(odd, "u", "f", least).collect()}
+    n, held = len(sets) + 1, {a: sum(a in s for s in sets) for a in names}
+    assert got == {(a, b): (v, round(v * n / held[a] / held[b], 9)) for (a, b), v in want.items() if v >= least * n} and 0 < len(got) < len(want)
+
+
+def test_pair_counts_in_pieces(monkeypatch):
+    rng = np.random.default_rng(6)
+    baskets = [sorted({f"i{k}" for k in rng.integers(0, 40, size)}) for size in rng.integers(1, 30, 60)]
+    want = {}
+    for b in baskets:
+        for i, x in enumerate(b):
+            for y in b[i + 1 :]:
+                want[x, y] = want.get((x, y), 0) + 1
+    for at_once in (1 << 21, 7):
+        monkeypatch.setattr(agg, "PAIRS_AT_ONCE", at_once)
+        parts = list(agg._pair_counts([pd.DataFrame({"basket": baskets[:25]}), pd.DataFrame({"basket": baskets[25:]}), pd.DataFrame({"basket": [["i1"]]})]))
+        assert max(len(p) for p in parts) <= at_once
+        assert pd.concat(parts).groupby(["a", "b"]).n.sum().to_dict() == want
 
 
 @pytest.mark.parametrize("batch", [4096, 3])

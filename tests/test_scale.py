@@ -1,11 +1,15 @@
 """The scale helpers against brute force, with hot keys and forced brackets."""
 
+import json
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from saltmarsh.functions import scale as sc
+from saltmarsh.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +97,28 @@ def test_auc_counts_ties_half(spark):
     assert roc_auc(df, "y", "s").first()["auc"] == pytest.approx(np.mean(pairs))
     moved = df.withColumn("s", F.pow("s", 3))  # a monotone change leaves it as it is
     assert roc_auc(moved, "y", "s").first()["auc"] == pytest.approx(np.mean(pairs))
+
+
+def test_json_array_is_read_by_many_tasks(spark, tmp_path):
+    rng = random.Random(3)
+    odd = ["", "}", "{", '"', "\\", '\\"}', "[{", "]}", "\n", "\u00e9\U0001f600", "a,b", '{"k": "}"}']
+
+    def word():
+        return "".join(rng.choice(odd) for _ in range(rng.choice([0, 1, 3, 9])))
+
+    rows = [{"id": k, "text": word(), "deep": {"a": [{"b": word()}, {"b": None}], "c": {}}} for k in range(400)]
+    (tmp_path / "a.json").write_text(json.dumps(rows[:300], indent=2), encoding="utf-8")
+    (tmp_path / "b.json").write_text(json.dumps(rows[300:], ensure_ascii=False) + "\n[]\n", encoding="utf-8")
+    (tmp_path / "c.json").write_text("[]")
+    (tmp_path / "d.json").write_text("")
+    (tmp_path / "e.json").write_text('[{"id": 900, "text": "x", "deep": {"c": {}}}, {"id": 901, "text": "open')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        assert spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = tables.read_json_array(spark, str(tmp_path), "id long, text string, deep struct<a: array<struct<b: string>>>").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {r["id"]: (r["text"], [x["b"] for x in r["deep"]["a"]]) for r in rows} | {900: ("x", None)}
+    assert len(got) == 401
+    assert {r["id"]: (r["text"], r["deep"]["a"] and [x["b"] for x in r["deep"]["a"]]) for r in got} == want
