@@ -54,25 +54,47 @@ def bisecting(rows: DataFrame, k: int):
         return BisectingKMeans(k=k, seed=SEED).fit(x)
 
 
-def kmeans_by_group(df: DataFrame, group: str, columns: list[str], k: int, rounds: int = 5) -> DataFrame:
-    """k-means inside every group at once: centres are one small row per group, points are never gathered."""
-    stats = df.groupBy(group).agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"s_{c}") for c in columns])
-    rows = df.join(stats, group).select(df["*"], *[F.coalesce(F.try_divide(F.col(c) - F.col(f"m_{c}"), F.col(f"s_{c}")), F.lit(0.0)).alias(f"_{c}") for c in columns])
-    start = F.array(*[F.struct(F.lit(j).alias("j"), *[F.lit(2.0 * j / max(k - 1, 1) - 1.0).alias(f"_{c}") for c in columns]) for j in range(k)])
-    centres = stats.select(group, start.alias("centres"))
+def kmeans_by_group(df: DataFrame, group: str, columns: list[str], k: int, rounds: int = 100) -> DataFrame:
+    """k-means on columns scaled within their group, inside every group at once, until no centre moves.
+
+    A group starts with its mean as the one centre. A round gives points to the nearest centre (ties: the smaller number),
+    moves centres to the means and, while there are fewer than ``k``, sets one more on the point that is farthest from its
+    own; this also refills a cluster that lost its points. So a group ends with ``k`` clusters, or with one for each distinct
+    point if those are fewer (points closer than 1e-6 count as one). Centres are one small row per group, points are
+    stored once and never gathered, and groups at rest take no part in further rounds. NULL is a group of its own; NULL
+    values stand at the mean. ``rounds`` only bounds a run that does not settle.
+    """
+    coords = [f"_{c}" for c in columns]
+    keyed = df.withColumn("_g", F.struct(group))
+    stats = keyed.groupBy("_g").agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"s_{c}") for c in columns])
+    scaled = [F.coalesce(F.try_divide(F.col(c) - F.col(f"m_{c}"), F.col(f"s_{c}")), F.lit(0.0)).alias(f"_{c}") for c in columns]
+    rows = cut_lineage(keyed.join(stats, "_g").select("_g", *[keyed[c] for c in df.columns], *scaled))
 
     def assign(points, centres):
         def cost(c):
-            return reduce(lambda a, b: a + b, [F.pow(F.col(f"_{x}") - c[f"_{x}"], 2) for x in columns])
+            return F.round(reduce(lambda a, b: a + b, [F.pow(F.col(x) - c[x], 2) for x in coords]), 12)
 
-        near = F.array_min(F.transform("centres", lambda c: F.struct(F.round(cost(c), 9).alias("d"), c["j"].alias("j"))))
-        return points.join(centres, group).withColumn("cluster", near["j"]).drop("centres")
+        near = F.array_min(F.transform("centres", lambda c: F.struct(cost(c).alias("d"), c["j"].alias("j"))))
+        return points.join(centres, "_g").withColumn("_near", near)
 
+    def entry(j, values):
+        return F.struct(j.cast("int").alias("j"), *[F.round(v, 9).alias(x) for x, v in zip(coords, values)])
+
+    first = F.array(entry(F.lit(0), [F.lit(0.0)] * len(coords)))
+    state = cut_lineage(rows.select("_g").distinct().select("_g", first.alias("centres"), F.lit(True).alias("moved")))
     for _ in range(rounds):
-        moved = assign(rows, centres).groupBy(group, "cluster").agg(*[F.avg(f"_{c}").alias(f"_{c}") for c in columns])
-        entry = F.struct(F.col("cluster").alias("j"), *[f"_{c}" for c in columns])
-        centres = cut_lineage(moved.groupBy(group).agg(F.collect_list(entry).alias("centres")))
-    return assign(rows, centres).drop(*[f"_{c}" for c in columns])
+        near = assign(rows.select("_g", *coords), state.where("moved").select("_g", "centres"))
+        per = near.groupBy("_g", F.col("_near.j").alias("j")).agg(
+            F.first("centres").alias("old"), *[F.avg(x).alias(x) for x in coords], F.max(F.struct(F.col("_near.d").alias("d"), *coords)).alias("far")
+        )
+        new = per.groupBy("_g").agg(F.first("old").alias("old"), F.collect_list(entry(F.col("j"), [F.col(x) for x in coords])).alias("c"), F.max("far").alias("far"))
+        free = F.array_min(F.array_except(F.sequence(F.lit(0), F.lit(k - 1)), F.col("c.j")))
+        grown = F.when((F.size("c") < k) & (F.col("far.d") > 0), F.array_append("c", entry(free, [F.col(f"far.{x}") for x in coords]))).otherwise(F.col("c"))
+        new = new.select("_g", F.array_sort(grown).alias("centres"), "old").select("_g", "centres", (F.col("centres") != F.col("old")).alias("moved"))
+        state = cut_lineage(new.unionByName(state.where("NOT moved")))
+        if state.where("moved").isEmpty():
+            break
+    return assign(rows, state.select("_g", "centres")).select(*df.columns, F.col("_near.j").alias("cluster"))
 
 
 # ---- connected groups
