@@ -54,15 +54,16 @@ def bisecting(rows: DataFrame, k: int):
         return BisectingKMeans(k=k, seed=SEED).fit(x)
 
 
-def kmeans_by_group(df: DataFrame, group: str, columns: list[str], k: int, rounds: int = 100) -> DataFrame:
-    """k-means on columns scaled within their group, inside every group at once, until no centre moves.
+def kmeans_by_group(df: DataFrame, group: str, columns: list[str], k: int, tol: float = 1e-4, rounds: int = 20) -> DataFrame:
+    """k-means on columns scaled within their group, inside every group at once, until centres rest.
 
     A group starts with its mean as the one centre. A round gives points to the nearest centre (ties: the smaller number),
     moves centres to the means and, while there are fewer than ``k``, sets one more on the point that is farthest from its
     own; this also refills a cluster that lost its points. So a group ends with ``k`` clusters, or with one for each distinct
     point if those are fewer (points closer than 1e-6 count as one). Centres are one small row per group, points are
-    stored once and never gathered, and groups at rest take no part in further rounds. NULL is a group of its own; NULL
-    values stand at the mean. ``rounds`` only bounds a run that does not settle.
+    stored once and never gathered. A group rests, and takes no part in further rounds, when the squared moves of its centres
+    sum to ``tol`` or less; it keeps the centres under which every cluster had points. NULL is a group of its own; NULL
+    values stand at the mean. After ``rounds`` rounds the centres stand as they are.
     """
     coords = [f"_{c}" for c in columns]
     keyed = df.withColumn("_g", F.struct(group))
@@ -90,7 +91,10 @@ def kmeans_by_group(df: DataFrame, group: str, columns: list[str], k: int, round
         new = per.groupBy("_g").agg(F.first("old").alias("old"), F.collect_list(entry(F.col("j"), [F.col(x) for x in coords])).alias("c"), F.max("far").alias("far"))
         free = F.array_min(F.array_except(F.sequence(F.lit(0), F.lit(k - 1)), F.col("c.j")))
         grown = F.when((F.size("c") < k) & (F.col("far.d") > 0), F.array_append("c", entry(free, [F.col(f"far.{x}") for x in coords]))).otherwise(F.col("c"))
-        new = new.select("_g", F.array_sort(grown).alias("centres"), "old").select("_g", "centres", (F.col("centres") != F.col("old")).alias("moved"))
+        new = new.select("_g", F.array_sort(grown).alias("c"), "old")
+        shift = F.aggregate(F.zip_with("c", "old", lambda a, b: reduce(lambda u, v: u + v, [F.pow(a[x] - b[x], 2) for x in coords])), F.lit(0.0), lambda u, v: u + v)
+        moved = (F.col("c.j") != F.col("old.j")) | (shift > tol)
+        new = new.withColumn("moved", moved).select("_g", F.when(F.col("moved"), F.col("c")).otherwise(F.col("old")).alias("centres"), "moved")
         state = cut_lineage(new.unionByName(state.where("NOT moved")))
         if state.where("moved").isEmpty():
             break

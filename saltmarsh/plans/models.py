@@ -210,7 +210,7 @@ def cluster_feature_sets(spark, d):
 @query("cluster_by_cohort")
 def cluster_by_cohort(spark, d):
     rows = stored_profile(spark, d).withColumn("cohort", F.coalesce(F.trunc("signup_date", "MM").cast("string"), F.lit("none")))
-    out = cl.kmeans_by_group(rows.select("user_id", "cohort", "mrr", "usage_per_day"), "cohort", ["mrr", "usage_per_day"], 3)
+    out = cl.kmeans_by_group(rows.select("user_id", "cohort", "mrr", "usage_per_day"), "cohort", ["mrr", "usage_per_day"], 3, rounds=8)
     return out.select("user_id", "cohort", "cluster")
 
 

@@ -148,7 +148,7 @@ def test_kmeans_by_group_settles_with_all_clusters(spark):
     rows += [("noise", float(x), float(y)) for x, y in rng.normal(size=(200, 2))] + [("two", 1.0, 1.0)] * 30 + [("two", 2.0, 1.0)] * 3 + [("one", 5.0, 5.0)]
     rows += [(None, 1.0, None), (None, 2.0, 3.0), (None, None, 3.0), ("same", 4.0, 4.0), ("same", 4.0, 4.0)]
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "id long, g string, x double, y double").repartition(4)
-    got = cl.kmeans_by_group(df, "g", ["x", "y"], 3).toPandas()
+    got = cl.kmeans_by_group(df, "g", ["x", "y"], 3, tol=0.0, rounds=100).toPandas()
     assert len(got) == len(rows) and list(got.columns) == ["id", "g", "x", "y", "cluster"]
     assert got.groupby(got.g.fillna("-")).cluster.nunique().to_dict() == {"blobs": 3, "noise": 3, "two": 2, "one": 1, "same": 1, "-": 3}
     blobs = got[got.g == "blobs"].sort_values("id").cluster.to_numpy().reshape(3, 40)
@@ -157,4 +157,6 @@ def test_kmeans_by_group_settles_with_all_clusters(spark):
     z = ((noise[["x", "y"]] - noise[["x", "y"]].mean()) / noise[["x", "y"]].std(ddof=0)).to_numpy()
     means = np.stack([z[noise.cluster == j].mean(axis=0) for j in range(3)])
     assert (((z[:, None] - means) ** 2).sum(axis=2).argmin(axis=1) == noise.cluster).all()
+    early = cl.kmeans_by_group(df, "g", ["x", "y"], 3, rounds=100).toPandas()
+    assert early.groupby(early.g.fillna("-")).cluster.nunique().to_dict() == got.groupby(got.g.fillna("-")).cluster.nunique().to_dict()
     assert cl.kmeans_by_group(df.limit(0), "g", ["x", "y"], 3).count() == 0
