@@ -7,15 +7,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saltmarsh.llm.graph import components
 from saltmarsh.llm.hashing import groups_of, mix, shingle_sets
+from saltmarsh.llm.skew import join_keyed
 from saltmarsh.session import cut_lineage
 
 SLOTS = 1 << 21  # size of the permuted universe
 BLOCK = 96  # documents on either side of one exact comparison
+WEIGHT = 1 << 20  # shingles on either side, about
 _U = np.uint64
 
 
@@ -134,8 +136,60 @@ def _links(texts: DataFrame, sides: DataFrame, width: int, percent: int) -> Data
     return rows.groupBy("job").applyInArrow(_compare(width, percent), "a long, b long")
 
 
-def _blocks_of(n, width: int):
-    return F.greatest(F.lit(1), F.ceil(n / F.lit(width))).cast("int")
+def _blocks_of(n, width):
+    return F.greatest(F.lit(1), F.ceil(n / width)).cast("int")
+
+
+def _neighbourhoods(keys: DataFrame) -> DataFrame:
+    """(id, grp, members, blocks): documents that share a band key with the document ``grp``, the smallest of that band.
+
+    ``keys`` holds (id, n, key). A neighbourhood whose documents all belong to one of a smaller name adds no pair and is left out.
+    ``blocks`` is the number of blocks it is compared in, by documents and by shingles.
+    """
+    bands = cut_lineage(keys.groupBy("key").agg(F.min("id").alias("grp"), F.max("id").alias("last"), F.count("*").alias("met")).where("grp < last"))
+    near = join_keyed(keys, bands.drop("last"), ["key"], "met").where("grp IS NOT NULL")
+    near = near.groupBy("id", "grp").agg(F.max("n").alias("n"))
+    home = F.min("grp").over(W.partitionBy("id"))  # a document has no more rows than bands
+    near = cut_lineage(near.withColumn("home", home))
+    sizes = near.groupBy("grp").agg(F.count("*").alias("members"), F.sum("n").alias("weight"), F.min("home").alias("low"), F.max("home").alias("high"))
+    sizes = sizes.where("NOT (low = high AND low <> grp)")
+    blocks = F.greatest(_blocks_of(F.col("members"), F.lit(BLOCK)), _blocks_of(F.col("weight"), F.lit(WEIGHT)))
+    sizes = cut_lineage(sizes.select("grp", "members", blocks.alias("blocks"), F.col("members").alias("met")))
+    return cut_lineage(join_keyed(near.select("id", "grp"), sizes, ["grp"], "met").where("members IS NOT NULL"))
+
+
+def _first_sides(placed: DataFrame) -> DataFrame:
+    """Every block against itself and against block 0 of its neighbourhood."""
+    cut = placed.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    own = cut.select("id", F.concat_ws(":", "grp", "block", "block").alias("job"), F.lit(True).alias("left_side"))
+    other = cut.where("block > 0").select("id", F.concat_ws(":", "grp", F.lit(0), "block").alias("job"), F.lit(False).alias("left_side"))
+    zero = cut.where("block = 0 AND blocks > 1").select("id", "grp", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("k"))
+    return own.union(other).union(zero.select("id", F.concat_ws(":", "grp", F.lit(0), "k").alias("job"), F.lit(True).alias("left_side")))
+
+
+def _rest_sides(large: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs of blocks of the larger neighbourhoods but those that lie wholly in one component of ``found``."""
+    wide = (F.col("members") / F.col("blocks")).alias("wide")
+    rows = large.join(found, large.id == found.node, "left").select("id", "grp", wide, F.coalesce("component", "id").alias("comp"))
+    rows = cut_lineage(rows)
+    parts = rows.groupBy("grp", "comp").agg(F.count("*").alias("m"), F.first("wide").alias("wide"))
+    parts = cut_lineage(parts.withColumn("pure", F.col("m") >= F.col("wide") / 2).withColumn("met", F.col("m")))
+    small = parts.where("NOT pure").groupBy("grp").agg(F.sum("m").alias("small"))
+    small = cut_lineage(small.withColumn("met", F.col("small")))
+    lay = join_keyed(join_keyed(rows, parts.drop("wide"), ["grp", "comp"], "met"), small, ["grp"], "met")
+    name = F.when(F.col("pure"), F.concat_ws("/", "comp", F.pmod(F.xxhash64("id"), _blocks_of(F.col("m"), F.col("wide"))))).otherwise(
+        F.concat_ws("/", F.lit("rest"), F.pmod(F.xxhash64("id"), _blocks_of(F.col("small"), F.col("wide"))))
+    )
+    lay = cut_lineage(lay.select("id", "grp", F.when(F.col("pure"), F.col("comp")).alias("whole"), name.alias("block")))
+    blocks = cut_lineage(lay.select("grp", "whole", "block").distinct())
+    one = blocks.select("grp", F.col("whole").alias("w1"), F.col("block").alias("b1"))
+    two = blocks.select("grp", F.col("whole").alias("w2"), F.col("block").alias("b2"))
+    jobs = one.join(two, "grp").where("b1 <= b2 AND NOT coalesce(w1 = w2, false)")
+    jobs = jobs.select("grp", "b1", "b2", F.concat_ws(":", "grp", "b1", "b2").alias("job"))
+    ends = jobs.select("grp", F.col("b1").alias("block"), "job", F.lit(True).alias("left_side")).union(
+        jobs.where("b1 < b2").select("grp", F.col("b2").alias("block"), "job", F.lit(False).alias("left_side"))
+    )
+    return lay.join(ends, ["grp", "block"]).select("id", "job", "left_side")
 
 
 def near_duplicates(
@@ -145,12 +199,12 @@ def near_duplicates(
     have ``100 * intersection >= percent * union``.
 
     Documents of one and the same set form a class and are represented by its smallest id.
-    Representatives that share a band key get into one candidate group (components of stars, so the
-    rows grow with the documents, not with pairs). In a group every two representatives are compared
-    on their full sets, in jobs of two blocks of about ``BLOCK`` documents. Groups over one block are
-    first compared block by block and with one block in common; afterwards, blocks that are wholly in
-    one component are not compared with each other again. At 85 % a pair misses all 30 bands of 6
-    coordinates with probability below 1e-6.
+    Representatives that share a band key with the smallest document of that band form its neighbourhood, so only
+    documents of one band, or of two bands with the same smallest document, are ever compared; chains of collisions are not
+    followed. In a neighbourhood they are compared on their full sets, in jobs of two blocks of about ``BLOCK`` documents
+    or ``WEIGHT`` shingles. Those of more than one block are first compared block by block and with one block in common;
+    afterwards, blocks that are wholly in one component are not compared with each other again.
+    At 85 % a pair misses all 30 bands of 6 coordinates with probability below 1e-6.
 
     Null text: empty, no shingles, linked with nothing. Null id: the row gets ``component_id`` null
     (or its class's, if a copy has an id) and ``kept`` false. Rows with the same id are one document.
@@ -164,51 +218,15 @@ def near_duplicates(
     classes = sketch.where("mark IS NOT NULL AND id IS NOT NULL").groupBy("mark").agg(F.min("id").alias("rep"))
     classes = cut_lineage(classes)
     own = sketch.join(classes, (sketch.mark == classes.mark) & (sketch.id == classes.rep)).select("rep", "n", "bands")
-    keys = own.select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
-    centres = keys.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last").drop("last")
-    stars = keys.join(centres, "key").where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    groups = cut_lineage(components(stars).withColumnRenamed("component", "grp").withColumnRenamed("node", "id"))
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
-    placed = groups.join(sizes, "grp")
-    texts = base.join(groups.select("id"), "id", "left_semi")
+    keys = cut_lineage(own.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("key")))
+    placed = _neighbourhoods(keys)
+    texts = base.join(placed.select("id"), "id", "left_semi")
     texts = cut_lineage(texts.dropDuplicates(["id", "text"]))
-
-    # Block against itself and against block 0; small groups are one block.
-    count = _blocks_of(F.col("members"), BLOCK)
-    block = F.pmod(F.xxhash64("id"), count).cast("int")
-    first = placed.withColumn("block", block)
-    side = F.array(
-        F.struct(F.concat_ws(":", "grp", "block", "block").alias("job"), F.lit(True).alias("left_side")),
-        F.when(F.col("block") > 0, F.struct(F.concat_ws(":", "grp", F.lit(0), "block").alias("job"), F.lit(False).alias("left_side"))),
-    )
-    spread = F.transform(F.sequence(F.lit(1), count - 1), lambda k: F.struct(F.concat_ws(":", "grp", F.lit(0), k).alias("job"), F.lit(True).alias("left_side")))
-    side = F.when((F.col("block") == 0) & (count > 1), F.concat(side, spread)).otherwise(side)
-    sides = first.select("id", F.explode(side).alias("s")).where("s IS NOT NULL").select("id", "s.job", "s.left_side")
-    links = cut_lineage(_links(texts, sides, width, percent))
-
-    # Larger groups: what the first comparisons left unconnected, against everything in the group.
-    large = placed.where(F.col("members") > BLOCK)
-    if large.limit(1).count():
-        found = components(links)
-        large = large.join(found, large.id == found.node, "left").select("id", "grp", F.coalesce("component", "id").alias("comp"))
-        parts = large.groupBy("grp", "comp").agg(F.count("*").alias("m"))
-        rest = parts.where(F.col("m") < BLOCK // 2).groupBy("grp").agg(F.sum("m").alias("small"))
-        lay = large.join(parts, ["grp", "comp"]).join(rest, "grp", "left")
-        pure = F.col("m") >= BLOCK // 2
-        name = F.when(pure, F.concat_ws("/", "comp", F.pmod(F.xxhash64("id"), _blocks_of(F.col("m"), BLOCK)))).otherwise(
-            F.concat_ws("/", F.lit("rest"), F.pmod(F.xxhash64("id"), _blocks_of(F.col("small"), BLOCK)))
-        )
-        lay = cut_lineage(lay.select("id", "grp", F.when(pure, F.col("comp")).alias("whole"), name.alias("block")))
-        blocks = lay.select("grp", "whole", "block").distinct()
-        one = blocks.select("grp", F.col("whole").alias("w1"), F.col("block").alias("b1"))
-        two = blocks.select("grp", F.col("whole").alias("w2"), F.col("block").alias("b2"))
-        jobs = one.join(two, "grp").where("b1 <= b2 AND NOT coalesce(w1 = w2, false)")
-        jobs = jobs.select("grp", "b1", "b2", F.concat_ws(":", "grp", "b1", "b2").alias("job"))
-        ends = jobs.select("grp", F.col("b1").alias("block"), "job", F.lit(True).alias("left_side")).union(
-            jobs.where("b1 < b2").select("grp", F.col("b2").alias("block"), "job", F.lit(False).alias("left_side"))
-        )
-        sides = lay.join(ends, ["grp", "block"]).select("id", "job", "left_side")
-        links = links.union(cut_lineage(_links(texts, sides, width, percent)))
+    links = cut_lineage(_links(texts, _first_sides(placed), width, percent))
+    large = placed.where("blocks > 1")
+    if not large.isEmpty():
+        rest = _rest_sides(large, components(links))
+        links = links.union(cut_lineage(_links(texts, rest, width, percent)))
     joined = components(links)
     of_class = classes.join(joined, classes.rep == joined.node, "left").select("mark", F.coalesce("component", "rep").alias("component_id"))
     result = sketch.select("id", "n", "mark").join(of_class, "mark", "left")

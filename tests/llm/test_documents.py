@@ -131,6 +131,18 @@ def test_near_duplicates_of_nothing(spark):
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and out.count() == 0
 
 
+def test_neighbourhoods_do_not_follow_chains(spark):
+    chain = [(k, 5, 10_000 + k + j) for k in range(3000) for j in (0, 1)]
+    got = near_dups._neighbourhoods(spark.createDataFrame(chain, "id long, n long, key long"))
+    sizes = [tuple(r) for r in got.groupBy("grp").agg(F.count("*"), F.max("members"), F.max("blocks")).collect()]
+    assert len(sizes) == 2999 and {r[1:] for r in sizes} == {(2, 2, 1)}
+    assert near_dups._first_sides(got).count() == 2 * 2999
+    hot = [(k, 5, key) for k in range(1000) for key in (1, 2 + k % 3)] + [(5000 + k, 1 << 19, 9) for k in range(6)]
+    got = near_dups._neighbourhoods(spark.createDataFrame(hot, "id long, n long, key long"))
+    sizes = {tuple(r) for r in got.groupBy("grp", "members", "blocks").agg(F.count("*")).collect()}
+    assert sizes == {(0, 1000, 11, 1000), (5000, 6, 3, 6)}  # bands inside another neighbourhood add none
+
+
 def test_circulant_signature_is_the_definition():
     rng = np.random.default_rng(3)
     s = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64))
