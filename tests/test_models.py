@@ -160,3 +160,36 @@ def test_kmeans_by_group_settles_with_all_clusters(spark):
     early = cl.kmeans_by_group(df, "g", ["x", "y"], 3, rounds=100).toPandas()
     assert early.groupby(early.g.fillna("-")).cluster.nunique().to_dict() == got.groupby(got.g.fillna("-")).cluster.nunique().to_dict()
     assert cl.kmeans_by_group(df.limit(0), "g", ["x", "y"], 3).count() == 0
+
+
+def lloyd(x, centres, rounds):
+    for _ in range(rounds):
+        near = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        centres = np.array([x[near == j].mean(0) if (near == j).any() else centres[j] for j in range(len(centres))])
+    return ((x[:, None] - centres[None]) ** 2).sum(2).min(1).sum()
+
+
+def test_kmeans_runs_are_separate_fits(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(m, 0.3, (150, 3)) for m in (0, 2, 4, 9)] + [np.full((40, 3), 1.0)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, v array<double>").select("i", array_to_vector("v").alias("features"))
+    runs = [(2, 1), (4, 1), (4, 2), (6, 5)]
+    fits = cl.kmeans_runs(df, runs, rounds=40, tol=0.0)
+    assert [len(f.points) for f in fits] == [2, 4, 4, 6]
+    again = cl.kmeans_runs(df.repartition(7), [runs[2]], rounds=40, tol=0.0)[0]
+    assert np.allclose(again.points, fits[2].points) and abs(again.cost - fits[2].cost) < 1e-6
+    for f in fits:  # at rest, and its cost is the cost of its centres
+        assert abs(lloyd(x, f.points, 5) - f.cost) < 1e-4 * f.cost
+        pred = f.transform(df).orderBy("i").toPandas()["prediction"].to_numpy()
+        assert (pred == ((x[:, None] - f.points[None]) ** 2).sum(2).argmin(1)).all()
+    best = cl.best_kmeans(df, 4)
+    assert best.cost <= 1.001 * KMeans(k=4, seed=7).fit(df).summary.trainingCost
+    for f, s in zip(fits, cl.silhouettes(df, fits)):
+        assert abs(s - ClusteringEvaluator().evaluate(f.transform(df))) < 1e-9
+    same = df.where("i >= 600")
+    assert [len(f.points) for f in cl.kmeans_runs(same, [(3, 1)])] == [1] and cl.silhouettes(same, cl.kmeans_runs(same, [(3, 1)])) == [0.0]
+    assert cl.kmeans_runs(df.limit(0), [(3, 1)])[0].cost == 0.0
