@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .stats import hash_split, one_hot, regression_metrics, roc_auc, standard_scale, stratified_folds
+from .stats import LevelVectors, hash_split, regression_metrics, roc_auc, standard_scale, stratified_folds
 
 NUMERIC = ["tenure_days", "mrr", "total_usage", "feature_count", "total_events"]
 SEED = 42
@@ -45,11 +45,14 @@ def feature_frame(profile: DataFrame, numeric: list[str] | None = None, category
         rows = stratified_folds(rows, "churned", "user_id", folds)
     rows = standard_scale(rows, numeric, rows.where("split = 'train'"))
     names = [f"{c}_z" for c in numeric]
+    inputs = list(names)
     if category:
-        before = set(rows.columns)
-        rows = one_hot(rows, category, category)
-        names += [c for c in rows.columns if c not in before]
-    rows = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
+        levels = LevelVectors(rows.where("split = 'train'"), category)
+        if levels.names:
+            rows = levels.transform(rows, "_levels")
+            inputs.append("_levels")
+            names += [f"{category}_{v}" for v in levels.names]
+    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows).drop("_levels")
     return cut_lineage(rows.withColumn("label", F.col("churned").cast("double"))), names
 
 

@@ -127,13 +127,54 @@ def variances(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
     return one.unpivot([], columns, "feature", "variance").withColumn("keep", F.col("variance") > threshold)
 
 
+MOST_LEVEL_COLUMNS = 2000
+
+
 def one_hot(df: DataFrame, column: str, prefix: str, levels: list | None = None) -> DataFrame:
-    """0/1 column per level, the first in order left out. The levels, one for each output column, come to the driver if they are not given."""
+    """0/1 column per level, the first in order left out. At most ``MOST_LEVEL_COLUMNS`` levels; ``LevelVectors`` takes any number."""
     if levels is None:
-        levels = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect()]
+        found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MOST_LEVEL_COLUMNS + 1)
+        levels = [r[0] for r in found.collect()]
+    if len(levels) > MOST_LEVEL_COLUMNS:
+        raise ValueError(f"{column} has more than {MOST_LEVEL_COLUMNS} levels; use LevelVectors")
     return df.select("*", *[(F.col(column) == v).cast("int").alias(f"{prefix}_{v}") for v in sorted(levels)[1:]])
 
 
+class LevelVectors:
+    """One sparse vector per row in place of a column per level, fitted on some rows (the training rows).
+
+    Levels are numbered in descending order of their text; the first in ascending order is the base and has no entry. NULL
+    and levels that the fitted rows lack are the base as well: all zero. The list of levels, as text, is
+    kept on the driver, as any fitted indexer does; rows carry one number each.
+    """
+
+    def __init__(self, fitted_on: DataFrame, column: str):
+        from pyspark.ml.feature import StringIndexer
+
+        self.column = column
+        text = fitted_on.select(F.col(column).cast("string").alias("_level")).where("_level IS NOT NULL")
+        self.indexer = StringIndexer(inputCol="_level", outputCol="_at", stringOrderType="alphabetDesc", handleInvalid="keep").fit(text)
+        self.levels = list(self.indexer.labelsArray[0])
+
+    @property
+    def names(self) -> list[str]:
+        """The level of each vector entry."""
+        return self.levels[:-1]
+
+    def transform(self, df: DataFrame, output: str) -> DataFrame:
+        from pyspark.ml.feature import OneHotEncoder
+        from pyspark.ml.functions import array_to_vector
+
+        base = max(len(self.levels) - 1, 0)
+        at = self.indexer.transform(df.withColumn("_level", F.col(self.column).cast("string")))
+        at = at.withColumn("_at", F.least(F.col("_at"), F.lit(float(base))))
+        if not base:  # one level or none: nothing to tell apart
+            return at.withColumn(output, array_to_vector(F.array().cast("array<double>"))).drop("_level", "_at")
+        sizes = df.sparkSession.createDataFrame([(float(base),)], "_at double")
+        encoder = OneHotEncoder(inputCols=["_at"], outputCols=[output], dropLast=True).fit(sizes)
+        return encoder.transform(at).drop("_level", "_at")
+
+
 def hash_share(key: str) -> Column:
     """A number in [0, 2^32) fixed by the key alone."""
     return F.conv(F.substr(F.md5(F.col(key).cast("string")), F.lit(1), F.lit(8)), 16, 10).cast("bigint")

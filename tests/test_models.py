@@ -193,3 +193,29 @@ def test_kmeans_runs_are_separate_fits(spark):
     same = df.where("i >= 600")
     assert [len(f.points) for f in cl.kmeans_runs(same, [(3, 1)])] == [1] and cl.silhouettes(same, cl.kmeans_runs(same, [(3, 1)])) == [0.0]
     assert cl.kmeans_runs(df.limit(0), [(3, 1)])[0].cost == 0.0
+
+
+def test_level_vectors_are_the_dense_columns(spark, small):
+    rows = profile(spark, small).select("user_id", "plan_tier")
+    levels = st.LevelVectors(rows, "plan_tier")
+    dense = st.one_hot(rows, "plan_tier", "t").select("user_id", *[f"t_{v}" for v in levels.names]).toPandas().set_index("user_id")
+    sparse = {r["user_id"]: r["v"].toArray().tolist() for r in levels.transform(rows, "v").collect()}
+    assert sorted(levels.names) == sorted(levels.levels)[1:] and len(levels.names) == 4
+    assert sparse == {u: [float(x) for x in dense.loc[u]] for u in sparse} and len(sparse) == len(dense)
+    odd = spark.createDataFrame([(1, None), (2, "never seen"), (3, levels.names[0])], "user_id int, plan_tier string")
+    got = levels.transform(odd, "v")
+    assert got.columns == ["user_id", "plan_tier", "v"]
+    assert {r["user_id"]: r["v"].numNonzeros() for r in got.collect()} == {1: 0, 2: 0, 3: 1}
+    for few in (rows.limit(0), rows.where("plan_tier = 'BUILDING'").limit(3), odd.where("user_id = 1")):
+        one = st.LevelVectors(few, "plan_tier")
+        assert one.names == [] and {r["v"].size for r in one.transform(odd, "v").collect()} == {0}
+    with pytest.raises(ValueError):
+        st.one_hot(spark.range(3000), "id", "l")
+
+
+def test_a_feature_of_many_levels(spark):
+    many = spark.range(200_000).select(F.col("id").alias("user_id"), F.concat(F.lit("l"), "id").alias("plan"), (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2 == 0).alias("churned"))
+    frame, names = ml.feature_frame(many, ["x"], "plan")
+    sizes = frame.select(F.expr("user_id")).count(), frame.where("split = 'train'").count()
+    assert sizes[0] == 200_000 and len(names) == sizes[1]  # every train row is its own level, the base has no entry
+    assert {r["features"].size for r in frame.limit(20).collect()} == {len(names)}
