@@ -130,13 +130,13 @@ def _as_points(rows: DataFrame, features: str) -> DataFrame:
     return x.select("x", F.xxhash64("x").alias("h"))
 
 
-def kmeans_runs(rows: DataFrame, runs: list[tuple[int, int]], features: str = "features", rounds: int = 30, tol: float = 1e-4) -> list[Centres]:
+def kmeans_runs(rows: DataFrame, runs: list[tuple[int, int]], features: str = "features", rounds: int = 30, tol: float = 1e-4, starting: list[np.ndarray] | None = None) -> list[Centres]:
     """k-means fits for every (k, seed) of ``runs``, all advanced in the same scans of the points.
 
     Starting centres are drawn one at a time with probability in proportion to the squared distance to those
     a run already has; the draw is a hash of the point, the seed and the step, so it does not depend on partitions (equal
     points draw as one). Then all runs that still move take a round together. Runs stop when no centre moves more than
-    ``tol``, or after ``rounds``. A cluster without points keeps its centre; a run gets fewer than k centres if there are fewer distinct
+    ``tol``, or after ``rounds``. ``starting`` gives k centres for each run in place of the drawn ones. A cluster without points keeps its centre; a run gets fewer than k centres if there are fewer distinct
     points. Only centres and sums, runs * k * columns numbers, come to the driver. Vectors are dense, finite and not null; no rows give no centres.
     """
     points = cut_lineage(_as_points(rows, features))
@@ -144,7 +144,7 @@ def kmeans_runs(rows: DataFrame, runs: list[tuple[int, int]], features: str = "f
     if first is None:
         return [Centres(np.zeros((0, 0)), 0.0) for _ in runs]
     dims = len(first["x"])
-    centres = {r: np.zeros((0, dims)) for r in range(len(runs))}
+    centres = dict(enumerate(starting)) if starting else {r: np.zeros((0, dims)) for r in range(len(runs))}
     for step in range(max(k for k, _ in runs)):
         short = {r: centres[r] for r, (k, _) in enumerate(runs) if len(centres[r]) == step < k}
         if not short:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scale import top_per_key
+from ..operators import cells as ce
 from ..operators import evaluation as ev
 from ..operators import retrieval as rt
 from ..operators import textops as tx
@@ -99,6 +100,17 @@ def retrieval_metrics(spark, d):
     return out.select("query_id", "hits", rnd(F.col("hits") / F.col("k")).alias("precision_at_k"), rnd(F.col("hits") / F.col("n")).alias("recall_at_k"))
 
 
+CELLS, PROBES = 32, 16
+
+
+@query("similarity_search_cells")
+def similarity_search_cells(spark, d):
+    """Every twentieth vector against all, through the cell index."""
+    vectors = src.table(spark, d, "embeddings")
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return ce.search_cells(ce.build_cells(vectors, CELLS), asked, 10, PROBES).withColumn("score", rnd("score"))
+
+
 SEARCHES = {"insults": ["trash", "stupid", "clown"], "english": ["hate", "from", "with"], "german": ["nicht", "auf", "trash"], "spanish": ["para", "por", "stupid"]}
 
 
