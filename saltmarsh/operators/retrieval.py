@@ -36,7 +36,7 @@ def split_recursively(text: str, size: int, overlap: int, separators: tuple[str,
     """Pieces of at most ``size`` characters, cut at the coarsest separator that fits.
 
     Neighbouring pieces are packed together; a pack repeats up to ``overlap`` characters of
-    whole pieces from the end of the pack before.
+    whole pieces from the end of the pack before. For single texts; ``recursive_pieces`` is the same for columns.
     """
     sep, finer = "", ()
     for i, s in enumerate(separators):
@@ -72,16 +72,75 @@ def split_recursively(text: str, size: int, overlap: int, separators: tuple[str,
     return out
 
 
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _packed(pack: Column, sep: str) -> Column:
+    """The pack as a chunk without white space around it; no chunk if nothing is left."""
+    whole = F.btrim(F.array_join(pack, sep), F.lit(SPACE))
+    return F.when(whole != "", F.array(whole)).otherwise(F.array().cast("array<string>"))
+
+
+def _repeated(pack: Column, sep: str, limit: Column) -> Column:
+    """(n, used): how many pieces from the end of the pack, joined, have at most ``limit`` characters."""
+
+    def step(state, piece):
+        grown = state["used"] + F.length(piece) + F.when(state["n"] > 0, len(sep)).otherwise(0)
+        fits = state["open"] & (grown <= limit)
+        return F.struct(
+            F.when(fits, state["n"] + 1).otherwise(state["n"]).alias("n"), F.when(fits, grown).otherwise(state["used"]).alias("used"), fits.alias("open")
+        )
+
+    return F.aggregate(F.reverse(pack), F.struct(F.lit(0).alias("n"), F.lit(0).alias("used"), F.lit(True).alias("open")), step)
+
+
+def recursive_pieces(text: Column, size: int, overlap: int, separators: tuple[str, ...]) -> Column:
+    """Array of pieces of at most ``size`` characters, cut at the coarsest separator that fits; a fold in column functions.
+
+    Neighbouring pieces are packed together; a pack repeats up to ``overlap`` characters of
+    whole pieces from the end of the pack before. A piece that is too long closes the pack and is cut by the finer separators.
+    """
+    sep, finer = separators[0], separators[1:]
+    pieces = F.split(text, r"\Q" + sep + r"\E", -1) if sep else F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    none = F.array().cast("array<string>")
+
+    def after(out, at, n, used):
+        return F.struct(out.alias("out"), at.cast("int").alias("at"), n.cast("int").alias("n"), used.cast("int").alias("used"))
+
+    def folded(every):
+        # the pack is the last n of the first ``at`` pieces, so a step moves numbers only
+        def pack(state):
+            return F.slice(every, state["at"] - state["n"] + 1, state["n"])
+
+        def step(state, piece):
+            size_of, at = F.length(piece), state["at"] + 1
+            grown = state["used"] + size_of + F.when(state["n"] > 0, len(sep)).otherwise(0)
+            # the kept end of the pack is worked out once and read from a one-element array
+            kept = F.array(_repeated(pack(state), sep, F.least(F.lit(overlap), F.lit(size - len(sep)) - size_of)))
+            opened = F.transform(
+                kept,
+                lambda k: after(F.concat(state["out"], _packed(pack(state), sep)), at, k["n"] + 1, k["used"] + size_of + F.when(k["n"] > 0, len(sep)).otherwise(0)),
+            )
+            fold = F.when(grown > size, F.get(opened, F.lit(0))).otherwise(after(state["out"], at, state["n"] + 1, grown))
+            if not sep:  # single characters always fit
+                return fold
+            rest = recursive_pieces(piece, size, overlap, finer or ("",))
+            return F.when(size_of > size, after(F.concat(state["out"], _packed(pack(state), sep), rest), at, F.lit(0), F.lit(0))).otherwise(fold)
+
+        return F.aggregate(every, after(none, F.lit(0), F.lit(0), F.lit(0)), step, lambda s: F.concat(s["out"], _packed(pack(s), sep)))
+
+    return F.get(F.transform(F.array(pieces), folded), F.lit(0))
+
+
 def recursive_chunks(
     df: DataFrame, text: str, size: int = 300, overlap: int = 50, separators: tuple[str, ...] = ("\n\n", "\n", " ", "")
 ) -> DataFrame:
-    """Recursive splitting, document by document, in Arrow batches."""
-
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_recursively(t or "", size, overlap, separators))
-
-    return df.select("*", F.posexplode(cut(F.col(text))).alias("chunk_index", "chunk"))
+    """Recursive splitting in column functions. A null text gives no chunk; a ``size`` below one is refused."""
+    if size < 1 or overlap < 0 or not separators:
+        raise ValueError("size must be positive, overlap not negative, and there must be a separator")
+    cut = recursive_pieces(F.coalesce(F.col(text), F.lit("")), size, overlap, tuple(separators))
+    # the inner form would put a filter on the array below itself and so fold every text again
+    return df.select("*", F.posexplode_outer(cut).alias("chunk_index", "chunk")).where("chunk_index IS NOT NULL")
 
 
 def hash_vector(text: Column, dims: int) -> Column:

@@ -100,7 +100,7 @@ def retrieval_metrics(spark, d):
     return out.select("query_id", "hits", rnd(F.col("hits") / F.col("k")).alias("precision_at_k"), rnd(F.col("hits") / F.col("n")).alias("recall_at_k"))
 
 
-CELLS, PROBES = 32, 16
+CELLS, PROBES = 32, 24
 
 
 @query("similarity_search_cells")
