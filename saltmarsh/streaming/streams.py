@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,64 +153,91 @@ def distinct_requests(stream: DataFrame, key: str = "props", delay: str | None =
     return with_event_time(stream, "ts", delay).dropDuplicatesWithinWatermark([key])
 
 
+NEVER = np.iinfo(np.int64).max
+BUCKETS = 256  # Fixed for a checkpoint: state lies under the bucket of a request.
+
+
 class Deadlines(StatefulProcessor):
-    """When a request was opened and decided, and its one timer: at the deadline or, before it was opened, at the decision."""
+    """A bucket of requests: when each was opened and decided. Its deadline, or before it was opened its decision, is when it is
+    due; the bucket's one timer stands at the earliest."""
 
     def __init__(self, allowed: int):
         self.allowed = allowed
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.request = handle.getValueState("request", "opened bigint, decided bigint, timer bigint")
+        self.requests = handle.getValueState("requests", "packed binary")
 
     def handleInputRows(self, key, rows, timerValues):
-        opened, decided, timer = self.request.get() or (None, None, None)
+        held = self._held()
+        timer, seen = self._due(held).min(initial=NEVER), []
         for pdf in rows:
-            for at, is_decision in zip(pdf["at"].tolist(), pdf["is_decision"].tolist()):
-                if is_decision:
-                    decided = at if decided is None else min(decided, at)
-                else:
-                    opened = at if opened is None else min(opened, at)
-        wanted = decided if opened is None else opened + self.allowed
-        if wanted != timer:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(wanted)
-        self.request.update((opened, decided, wanted))
-        if opened is not None:
-            yield self._row(key, wanted, "open" if self._late(decided, wanted) else "decided", 0)
+            at, decides = pdf["at"].to_numpy(np.int64), pdf["is_decision"].to_numpy(bool)
+            new = np.column_stack([pdf["id"].to_numpy(np.int64), np.where(decides, NEVER, at), np.where(decides, at, NEVER)])
+            held = self._first(np.concatenate([held, new]))
+            seen.append(np.unique(new[:, 0]))
+        self._keep(held, timer)
+        told = held[np.isin(held[:, 0], np.concatenate(seen)) & (held[:, 1] != NEVER)]
+        yield self._rows(told, "open", 0)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        opened, decided, timer = self.request.get()
-        self.request.clear()
-        if opened is not None:
-            yield self._row(key, timer, "breached" if self._late(decided, timer) else "decided", 1)
+        held = self._held()
+        due = self._due(held)
+        gone = (due < timerValues.getCurrentWatermarkInMs()) | (due <= expiredTimerInfo.getExpiryTimeInMs())
+        self._keep(held[~gone], expiredTimerInfo.getExpiryTimeInMs(), expired=True)
+        yield self._rows(held[gone & (held[:, 1] != NEVER)], "breached", 1)
+
+    def _held(self) -> np.ndarray:
+        """Rows of id, first opening and first decision, ascending by id."""
+        packed = self.requests.get()
+        return np.frombuffer(packed[0] if packed else b"", np.int64).reshape(-1, 3)
+
+    def _keep(self, held: np.ndarray, timer: int, expired: bool = False) -> None:
+        wanted = self._due(held).min(initial=NEVER)
+        if wanted != timer:
+            if timer != NEVER and not expired:  # one that went off is forgotten by Spark
+                self.handle.deleteTimer(int(timer))
+            if wanted != NEVER:
+                self.handle.registerTimer(int(wanted))
+        if len(held):
+            self.requests.update((held.tobytes(),))
+        else:
+            self.requests.clear()
 
     @staticmethod
-    def _late(decided, deadline) -> bool:
-        return decided is None or decided > deadline
+    def _first(rows: np.ndarray) -> np.ndarray:
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        starts = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0])) if len(rows) else np.zeros(0, np.int64)
+        return np.column_stack([rows[starts, 0], np.minimum.reduceat(rows[:, 1:], starts, axis=0)]) if len(rows) else rows
 
-    @staticmethod
-    def _row(key, deadline, state, step):
-        return pd.DataFrame([(key[0], deadline, state, step)], columns=["id", "deadline", "state", "step"])
+    def _due(self, held: np.ndarray) -> np.ndarray:
+        return np.where(held[:, 1] == NEVER, held[:, 2], np.where(held[:, 1] == NEVER, 0, held[:, 1]) + self.allowed)
+
+    def _rows(self, held: np.ndarray, undecided: str, step: int) -> pd.DataFrame:
+        deadline = held[:, 1] + self.allowed
+        return pd.DataFrame({"id": held[:, 0], "deadline": deadline, "state": np.where(held[:, 2] > deadline, undecided, "decided").astype(object), "step": np.int32(step)})
 
     def close(self) -> None:
         pass
 
 
-def request_deadlines(stream: DataFrame, hours: int = 48, delay: str = "1 day") -> DataFrame:
+def request_deadlines(stream: DataFrame, hours: int = 48, delay: str = "1 day", buckets: int = BUCKETS) -> DataFrame:
     """Requests with their deadline, for an upserted table with key id: ``open``, ``decided`` or ``breached``; ``deadline`` in milliseconds since 1970.
 
     A request opens with its first undecided row; its deadline is ``hours`` later. An event-time timer goes off once the event
     clock, ``delay`` behind the latest row, has passed the deadline: without a decision by then the request is
     breached, and a later decision withdraws nothing. The state then forgets the request, as it does a decision
     whose request is not opened before the clock passes it. Rows without a time are left out.
+
+    State and timers are kept for a bucket of requests, by a hash of their ids, so Python is called for every bucket of a batch and not
+    for every request.
     """
     rows = with_event_time(stream.where("o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL"), "o_orderdate", delay)
     rows = rows.select(
         F.col("o_orderkey").alias("id"), "event_time", F.unix_millis("event_time").alias("at"), F.coalesce(F.col("o_orderstatus") != "P", F.lit(False)).alias("is_decision")
     )
-    return rows.groupBy("id").transformWithStateInPandas(Deadlines(hours * 3_600_000), "id bigint, deadline bigint, state string, step int", "Update", "EventTime")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
+    return rows.groupBy("bucket").transformWithStateInPandas(Deadlines(hours * 3_600_000), "id bigint, deadline bigint, state string, step int", "Update", "EventTime")
 
 
 def sla_breaches(requests: DataFrame, clock: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,46 @@ def test_upserts_survive_restarts(spark, small, tmp_path):
     (commits / str(last)).unlink()  # as if the run had ended between the sink and the commit
     (commits / f".{last}.crc").unlink(missing_ok=True)
     assert run() == 1000
+
+
+def test_deadlines_take_a_bucket_at_once():
+    """State is asked for once per call, however many requests a bucket holds."""
+
+    class Handle:
+        calls, kept, timers = 0, None, set()
+
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.kept
+
+        def update(self, value):
+            self.calls, self.kept = self.calls + 1, value
+
+        def clear(self):
+            self.calls, self.kept = self.calls + 1, None
+
+        def registerTimer(self, at):
+            self.timers = self.timers | {at}
+
+        def deleteTimer(self, at):
+            self.timers = self.timers - {at}
+
+    class Clock:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: at
+
+    handle, bucket = Handle(), sm.Deadlines(10)
+    bucket.init(handle)
+    pdfs = [pd.DataFrame({"id": range(n, 1000, 2), "at": 5 + n, "is_decision": n == 1}) for n in (0, 1)]
+    pdfs.append(pd.DataFrame({"id": [0, 2, 4], "at": [15, 16, 3], "is_decision": [True, True, False]}))
+    out = pd.concat(bucket.handleInputRows((0,), iter(pdfs), Clock(0)))
+    assert handle.calls == 2 and handle.timers == {6}  # odd ids have a decision only
+    assert len(out) == 500 and set(out["step"]) == {0}
+    assert dict(zip(out["id"][:3], zip(out["deadline"], out["state"]))) == {0: (15, "decided"), 2: (15, "open"), 4: (13, "open")}
+    out = pd.concat(bucket.handleExpiredTimer((0,), Clock(14), Clock(6)))
+    assert out.values.tolist() == [[4, 13, "breached", 1]] and 15 in handle.timers
+    out = pd.concat(bucket.handleExpiredTimer((0,), Clock(16), Clock(15)))
+    assert len(out) == 499 and (out["state"] == "decided").sum() == 1 and handle.kept is None
