@@ -77,8 +77,19 @@ def network(inputs: int, max_iter: int = 60) -> mc.MultilayerPerceptronClassifie
     return mc.MultilayerPerceptronClassifier(layers=[inputs, 32, 16, 2], maxIter=max_iter, seed=SEED)
 
 
+ROWS_A_TASK = 10_000  # training rows that are worth a task of their own
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over as many tasks as there are cores, if there are enough rows: a stored table of few megabytes is read by few
+    tasks, however long an estimator works on each row. Not over more: tree ensembles add up the statistics of
+    all nodes once for every task."""
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_A_TASK))
+    return rows.repartition(tasks) if tasks > rows.rdd.getNumPartitions() else rows
+
+
 def fit_on_train(frame: DataFrame, estimator):
-    with held(frame.where("split = 'train'").select("features", "label")) as train:
+    with held(spread(frame.where("split = 'train'").select("features", "label"))) as train:
         return estimator.fit(train)
 
 
@@ -106,7 +117,7 @@ def soft_vote(frame: DataFrame, models: list) -> DataFrame:
 
 def stacked(frame: DataFrame, bases: list, folds: int):
     """Second-level model on out-of-fold base predictions; returns scored held-out rows."""
-    with held(frame) as rows:
+    with held(spread(frame)) as rows:
         train = rows.where("split = 'train'")
         out_of_fold = None
         for f in range(folds):
@@ -134,7 +145,7 @@ def tune_boosting(frame: DataFrame, rates: list[float], rounds: list[int], folds
     cv = CrossValidator(
         estimator=gbt, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED
     )
-    with held(frame.where("split = 'train'").select("features", "label", "fold")) as train:
+    with held(spread(frame.where("split = 'train'").select("features", "label", "fold"))) as train:
         fitted = cv.fit(train)
     rows = [(float(g[gbt.stepSize]), int(g[gbt.maxIter]), float(a)) for g, a in zip(grid, fitted.avgMetrics)]
     out = frame.sparkSession.createDataFrame(rows, "learning_rate double, rounds int, auc double")

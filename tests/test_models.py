@@ -219,3 +219,18 @@ def test_a_feature_of_many_levels(spark):
     sizes = frame.select(F.expr("user_id")).count(), frame.where("split = 'train'").count()
     assert sizes[0] == 200_000 and len(names) == sizes[1]  # every train row is its own level, the base has no entry
     assert {r["features"].size for r in frame.limit(20).collect()} == {len(names)}
+
+
+def test_fits_use_all_cores(spark):
+    few = spark.range(30_000).coalesce(1).withColumn("split", F.lit("train")).withColumn("label", F.col("id") * 1.0)
+    frame = few.withColumn("features", ml.array_to_vector(F.array("label")))
+    seen = {}
+
+    class Estimator:
+        def fit(self, train):
+            seen["tasks"], seen["rows"] = train.select(F.spark_partition_id()).distinct().count(), train.distinct().count()
+
+    ml.fit_on_train(frame, Estimator())
+    assert seen == {"tasks": min(3, spark.sparkContext.defaultParallelism), "rows": 30_000}
+    ml.fit_on_train(frame.limit(2_000), Estimator())
+    assert seen == {"tasks": 1, "rows": 2_000}
