@@ -48,6 +48,28 @@ def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     assert got == {k: t for k, t in enumerate(own)} | {100 + k: f"{notice} {t} {shared}" for k, t in enumerate(own)}
 
 
+def test_pages_are_counted_over_the_whole_host(spark):
+    """A line on 22 % of a host's distinct pages goes from all of them, one on 18 % from none, whatever bundles hold."""
+    rng = random.Random(3)
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) for _ in range(700)]
+    often, seldom = "these words stand on many pages here", "those others stand on fewer pages here"
+    rows = [(k, f"http://wide.example/{k}", f"<p>{t}</p>" + f"<p>{often}</p>" * (k < 154) + f"<p>{seldom}</p>" * (k >= 574)) for k, t in enumerate(own)]
+    rows += [(1000 + k, f"http://wide.example/copy{k}", rows[-1][2]) for k in range(300)]  # copies count as one page
+    got = {r["page_id"]: r["text"] for r in texts(spark, rows)}
+    want = {k: t + (f" {seldom}" if k >= 574 else "") for k, t in enumerate(own)}
+    assert got == want | {1000 + k: want[699] for k in range(300)}
+
+
+def test_undecided_heads_are_counted_again(spark, monkeypatch):
+    """A line on exactly a fifth of the pages, on one page only in some bundles, which do not tell of it then."""
+    monkeypatch.setattr(html_text, "BUNDLE", 25)
+    rng = random.Random(4)
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) for _ in range(600)]
+    line = "just a fifth of pages have it"
+    rows = [(k, f"http://edge.example/{k}", f"<p>{t}</p>" + f"<p>{line}</p>" * (k % 5 == 0)) for k, t in enumerate(own)]
+    assert {r["page_id"]: r["text"] for r in texts(spark, rows)} == dict(enumerate(own))
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_covered_tokens_match_all_substrings(seed):
     rng = random.Random(seed)
