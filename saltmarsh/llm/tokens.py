@@ -257,12 +257,12 @@ def unpack(payload: list[bytes], checkpoints: list[np.ndarray], counts: np.ndarr
 def _encode(path: str):
     def run(batches):
         coder = encoder(path)
+        end = np.array([END], coder.type).tobytes()
         for batch in batches:
             for a, b in groups_of(batch.column(1), PIECE):
                 ids, place = coder.encode(batch.column(1)[a:b])
-                ids = np.insert(ids, place[1:], END)
-                place = place + np.arange(len(place))
-                bytes_ = [ids[x:y].tobytes() for x, y in zip(place[:-1].tolist(), place[1:].tolist())]
+                raw, place = memoryview(ids.view(np.uint8)), place * coder.type.itemsize
+                bytes_ = [b"".join((raw[x:y], end)) for x, y in zip(place[:-1].tolist(), place[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(bytes_, pa.binary())], ["doc_id", "ids"])
 
     return run
@@ -366,7 +366,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = slots_of(docs, "doc_id", 2 * slots)
     raw = scratch_path(spark, "ids")
-    docs.mapInArrow(_encode(tokenizer), "doc_id long, ids binary").write.option("compression", "zstd").parquet(raw)
+    docs.mapInArrow(_encode(tokenizer), "doc_id long, ids binary").write.option("compression", "snappy").parquet(raw)
     ids = spark.read.schema("doc_id long, ids binary").parquet(raw)
     counts = ids.select("ids").mapInArrow(_count(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
     total = np.zeros(max([r["id"] for r in counts], default=0) + 1, np.int64)
