@@ -18,6 +18,7 @@ from saltmarsh.session import cut_lineage
 SLOTS = 1 << 21  # size of the permuted universe
 BLOCK = 96  # documents on either side of one exact comparison
 WEIGHT = 1 << 20  # shingles on either side, about
+PIECE = 1 << 20  # bytes of text hashed at once, if a single text is not longer
 _U = np.uint64
 
 
@@ -57,9 +58,9 @@ def _sketch(width: int, bands: int, rows: int):
 
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for a, b in groups_of(texts):
+            known: dict = {}  # of this batch
+            for a, b in groups_of(texts, PIECE):
                 sets = shingle_sets(texts[a:b], width)
-                known: dict = {}
                 marks, keys = [], []
                 for s in sets:
                     if not len(s):
@@ -106,7 +107,7 @@ def _compare(width: int, percent: int):
         ids = np.array(table.column("id").to_pylist(), dtype=object)
         left = np.array(table.column("left_side").to_pylist(), dtype=bool)
         texts = table.column("text").combine_chunks()
-        sets = [s for a, b in groups_of(texts) for s in shingle_sets(texts[a:b], width)]
+        sets = [s for a, b in groups_of(texts, PIECE) for s in shingle_sets(texts[a:b], width)]
         first = np.flatnonzero(left)
         second = np.flatnonzero(~left)
         if not len(second):

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saltmarsh.session import cut_lineage
+
 SEGMENT = 1024  # bytes compressed at once, so that a dictionary counts for all of a long text
 DICTIONARY = 112 << 10  # bytes of a trained dictionary
 TRUST = 64  # bytes at which a text's own evidence counts as much as the share of label 1
@@ -113,17 +114,15 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, order: Column, rows:
 
 
 def _scorer(model: CompressionModel):
-    def run(batches):
-        measure = model.measure() if model.good else None
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            raw = [(t.as_py() or "").encode() for t in texts]
-            if measure:
-                score = model.probability(np.array([measure(t) for t in raw]))
-                score[[not t for t in raw]] = model.prior
-            else:
-                score = np.full(len(raw), model.prior)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score, pa.float64())], [*batch.schema.names[:-1], "score"])
+    ready = []  # the two dictionaries, prepared once in a task
+
+    def run(text: str | None) -> float:
+        raw = (text or "").encode()
+        if not raw or not model.good:
+            return model.prior
+        if not ready:
+            ready.append(model.measure())
+        return float(model.probability(np.array([ready[0](raw)]))[0])
 
     return run
 
@@ -132,11 +131,11 @@ def score(df: DataFrame, model: CompressionModel, text_col: str, keep: list[str]
     """``keep`` columns and ``score``, the calibrated probability of label 1, for every row and whole text.
 
     Null and empty texts get the share of label 1 in the labelled rows. Repeated rows are scored
-    each for itself. ``score`` must not be among ``keep``.
+    each for itself. ``score`` must not be among ``keep``. Only texts go to the Python workers, a hundred at a time
+    instead of Arrow's ten thousand, and only scores come back; a filter on ``score`` stays above, so that nothing is scored twice.
     """
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("text for score"))
-    schema = df.select(*[F.col(f"`{c}`") for c in keep]).schema.add("score", "double")
-    return rows.mapInArrow(_scorer(model), schema)
+    scorer = F.udf(_scorer(model), "double", useArrow=False).asNondeterministic()
+    return df.select(*[F.col(f"`{c}`") for c in keep], scorer(F.col(text_col)).alias("score"))
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
@@ -165,9 +164,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, **options) -> CompressionMod
     for c in (0, 1):
         one = rated.where(F.col("quality") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         picked = one if picked is None else picked.union(one)
-    ids = [tuple(r) for r in picked.collect()]  # 2 * rows at most
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, label int")
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    chosen = docs.sparkSession.createDataFrame(picked.withColumnsRenamed({"quality": "label"}).toArrow())  # 2 * rows at most
+    sample = cut_lineage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))  # texts are read once
     model = fit(sample, "text", "label", F.xxhash64("doc_id"), **options)
     counts = {r[0]: r[1] for r in shares.collect()}
     if not model.good or not counts.get(0) or not counts.get(1):

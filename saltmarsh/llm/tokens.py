@@ -18,7 +18,8 @@ from saltmarsh.session import scratch_path
 BLOCK = 512  # ids between two checkpoints
 MOST_BITS = 18  # longest code; the decoding table has 2 ** MOST_BITS entries
 MEMO = 1 << 21  # places of the memo of encoded pieces
-PIECE = 1 << 20  # bytes of text encoded, and ids packed or read, at once, if a single text is not longer
+PIECE = 1 << 20  # ids read at once, if a single text has not more
+PART = 1 << 18  # bytes of text encoded, and ids packed, at once, if a single text is not longer
 END = 0  # id appended to each document
 
 
@@ -259,7 +260,7 @@ def _encode(path: str):
         coder = encoder(path)
         end = np.array([END], coder.type).tobytes()
         for batch in batches:
-            for a, b in groups_of(batch.column(1), PIECE):
+            for a, b in groups_of(batch.column(1), PART):
                 ids, place = coder.encode(batch.column(1)[a:b])
                 raw, place = memoryview(ids.view(np.uint8)), place * coder.type.itemsize
                 bytes_ = [b"".join((raw[x:y], end)) for x, y in zip(place[:-1].tolist(), place[1:].tolist())]
@@ -292,7 +293,7 @@ def _pack(kind: str, lengths: np.ndarray):
             a = 0
             while a < len(ids):
                 b, n = a, 0
-                while b < len(ids) and (b == a or n + len(ids[b]) <= PIECE):
+                while b < len(ids) and (b == a or n + len(ids[b]) <= PART):
                     n += len(ids[b])
                     b += 1
                 place = np.append(0, np.cumsum([len(x) for x in ids[a:b]]))

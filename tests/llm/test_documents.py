@@ -359,6 +359,21 @@ def test_quality_of_odd_rows(odd, spark):
     assert quality.score(plain.limit(0), model, "text", ["doc_id"]).count() == 0
 
 
+def test_scoring_sends_texts_a_few_at_a_time_and_once(spark):
+    texts = [f"good plain words about rivers and number {k} of many" for k in range(200)], [f"$$$ buy now {k} !!! click >>> here" for k in range(200)]
+    rows = [(2 * k + c, t, "a") for c in (0, 1) for k, t in enumerate(texts[c])] + [(900, None, "b"), (901, "", None), (None, texts[0][0], "a"), (0, texts[0][0] * 50, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(400)], "doc_id long, quality int")
+    model = quality.fit_quality(docs, labels)
+    assert model.good and model.bad
+    scored = quality.score(docs, model, "text", docs.columns)
+    measure = model.measure()
+    want = [(*r, model.probability(np.array([measure(r[1].encode())]))[0] if r[1] else model.prior) for r in rows]
+    assert sorted(map(tuple, scored.collect()), key=repr) == sorted(want, key=repr)
+    plan = scored.where("score >= 0.3")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython") == 1 and "MapInArrow" not in plan  # whole rows in Arrow batches of 10,000 before
+
+
 def test_counts_follow_edits(odd, spark):
     from tokenizers import Tokenizer
 
