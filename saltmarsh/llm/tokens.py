@@ -19,7 +19,7 @@ BLOCK = 512  # ids between two checkpoints
 MOST_BITS = 18  # longest code; the decoding table has 2 ** MOST_BITS entries
 MEMO = 1 << 21  # places of the memo of encoded pieces
 PIECE = 1 << 20  # ids read at once, if a single text has not more
-PART = 1 << 18  # bytes of text encoded, and ids packed, at once, if a single text is not longer
+PART = 1 << 18  # bytes of text encoded, and ids counted or packed, at once, if a single text is not longer
 END = 0  # id appended to each document
 
 
@@ -275,10 +275,12 @@ def _count(kind: str):
         for batch in batches:
             _, offsets, data = batch.column(0).cast(pa.large_binary()).buffers()
             at = np.frombuffer(offsets, np.int64)[batch.column(0).offset :][: len(batch) + 1]
-            part = np.bincount(np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind))
-            if len(part) > len(total):
-                part, total = total, part.astype(np.int64)
-            total[: len(part)] += part
+            ids = np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind)
+            for a in range(0, len(ids), PART):  # bincount widens what it counts to 8 bytes an id
+                part = np.bincount(ids[a : a + PART])
+                if len(part) > len(total):
+                    part, total = total, part.astype(np.int64)
+                total[: len(part)] += part
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(total[used])], ["id", "n"])
 

@@ -374,6 +374,20 @@ def test_scoring_sends_texts_a_few_at_a_time_and_once(spark):
     assert plan.count("BatchEvalPython") == 1 and "MapInArrow" not in plan  # whole rows in Arrow batches of 10,000 before
 
 
+def test_ids_are_counted_in_little_memory():
+    import tracemalloc
+
+    ids = np.random.default_rng(3).integers(0, 50_000, 3_000_000).astype("<u2")
+    batch = pa.RecordBatch.from_arrays([pa.array([ids[:7].tobytes(), ids[7:].tobytes(), b""], pa.binary())], ["ids"])
+    tracemalloc.start()
+    counted = next(tokens._count("<u2")([batch, batch.slice(0, 1)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.bincount(np.append(ids, ids[:7]))
+    assert dict(zip(*(c.to_pylist() for c in counted.columns))) == {int(k): int(want[k]) for k in np.flatnonzero(want)}
+    assert peak < 3 * ids.nbytes  # four times the ids and more before
+
+
 def test_counts_follow_edits(odd, spark):
     from tokenizers import Tokenizer
 
